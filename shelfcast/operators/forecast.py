@@ -11,7 +11,6 @@ from shelfcast.functions.columns import (
     horizon_offset,
     joined_id,
     non_negative,
-    prefixed,
     truncated_int,
 )
 
@@ -43,10 +42,12 @@ def day_matrix(df: DataFrame, keys: Sequence[str], day: str, value: str, days: S
     """Sum of ``value`` per key and day, one column per day, named ``F<day>``.
 
     The days are given, so no job looks for them and the columns do not depend on the
-    data. A cell without rows is null.
+    data. Sums under a condition need one shuffle, on the key, after summing within each
+    task; ``pivot`` shuffles by key and day first and by key again. A cell without rows
+    is null.
     """
-    wide = df.groupBy(*keys).pivot(day, list(days)).agg(F.sum(value))
-    return prefixed(wide, "F", keys)
+    cells = [F.expr(f"sum(`{value}`) FILTER (WHERE `{day}` = {d})").alias(f"F{d}") for d in days]
+    return df.groupBy(*keys).agg(*cells)
 
 
 def horizon_matrix(predictions: DataFrame, horizon: Horizon) -> DataFrame:

@@ -61,23 +61,40 @@ def line_error_per_key(parted: DataFrame, keys: Sequence[str], x: str, y: str) -
     return stats.select(*keys, "n_test", error.alias("rmse"))
 
 
-def _solve(moments: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Least squares from stacked moment matrices of (1, inputs, target).
+def _centred(moments: np.ndarray, means: np.ndarray) -> np.ndarray:
+    """Moment matrices after subtracting ``means`` from inputs and target."""
+    count, sums = moments[:, :1, :1], moments[:, 1:, 0]
+    cross = means[:, :, None] * sums[:, None, :]
+    inner = moments[:, 1:, 1:] - cross - cross.transpose(0, 2, 1)
+    return inner + count * means[:, :, None] * means[:, None, :]
 
-    Returns coefficients and rank. Directions without variance get weight 0.
+
+def _solve(comoments: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and rank from stacked co-moments of (inputs, target).
+
+    Directions without variance get weight 0.
     """
-    gram = moments[:, :size, :size]
-    scale = np.sqrt(np.einsum("kii->ki", gram))
-    scale[scale == 0] = 1.0
-    normed = gram / (scale[:, :, None] * scale[:, None, :])
-    target = moments[:, :size, size] / scale
-    values, vectors = np.linalg.eigh(normed)
-    kept = values > 1e-10 * values[:, -1:]
+    gram, target = comoments[:, :-1, :-1], comoments[:, :-1, -1]
+    scale = np.sqrt(np.maximum(np.einsum("kii->ki", gram), 0.0))
+    scale[scale < 1e-6] = 1.0
+    values, vectors = np.linalg.eigh(gram / (scale[:, :, None] * scale[:, None, :]))
+    kept = values > 1e-8 * np.maximum(values[:, -1:], 1e-12)
     inverse = np.where(kept, 1.0 / np.where(kept, values, 1.0), 0.0)
-    projected = np.einsum("kji,kj->ki", vectors, target) * inverse
+    projected = np.einsum("kji,kj->ki", vectors, target / scale) * inverse
     return np.einsum("kij,kj->ki", vectors, projected) / scale, kept.sum(axis=1)
 
 
+def _matrices(column: pd.Series, size: int) -> np.ndarray:
+    """Symmetric matrices from their upper halves; zeros where there is none."""
+    blank = np.zeros(size * (size + 1) // 2)
+    flat = np.stack([blank if half is None else np.asarray(half) for half in column])
+    upper = np.triu_indices(size)
+    full = np.zeros((len(flat), size, size))
+    full[:, upper[0], upper[1]] = flat
+    full[:, upper[1], upper[0]] = flat
+    return full
+
+
 def least_squares_per_key(
     parted: DataFrame,
     keys: Sequence[str],
@@ -86,61 +103,57 @@ def least_squares_per_key(
 ) -> DataFrame:
     """Linear model per key on the train rows, with its RMSE on the test rows.
 
-    Output: keys, ``n_train``, ``n_test``, ``rank``, ``rmse``, ``state``. Inputs are shifted
-    by their overall means, which leaves the model the same and the sums well scaled.
+    Output: keys, ``n_train``, ``n_test``, ``rank``, ``rmse``, ``state``. One pass sums the
+    products of inputs and target; centring, solving and scoring work on those sums, whose
+    number does not grow with the rows of a key.
     """
-    names = list(inputs)
-    size = len(names) + 1
+    size = len(inputs) + 2
+    names = ["_one", *[f"_x{i}" for i in range(len(inputs))], "_y"]
     rows = parted.where(F.col(y).isNotNull()).select(
-        *keys, "part", *[c.alias(n) for n, c in inputs.items()], F.col(y).cast("double").alias("_y")
+        *keys,
+        "part",
+        F.lit(1.0).alias("_one"),
+        *[c.cast("double").alias(n) for n, c in zip(names[1:], inputs.values())],
+        F.col(y).cast("double").alias("_y"),
     )
-    means = rows.agg(*[F.avg(n).alias(n) for n in [*names, "_y"]]).first()
-    terms = [F.lit(1.0)] + [F.col(n) - F.lit(means[n] or 0.0) for n in [*names, "_y"]]
-    pairs = [(i, j) for i in range(size + 1) for j in range(i, size + 1)]
+    products = [f"sum({names[i]} * {names[j]})" for i, j in zip(*np.triu_indices(size))]
     sums = rows.groupBy(*keys, "part").agg(
-        F.count("*").alias("n"), F.array(*[F.sum(terms[i] * terms[j]) for i, j in pairs]).alias("moments")
+        F.count("*").alias("n"), F.expr(f"array({', '.join(products)})").alias("moments")
     )
     per_key = sums.groupBy(*keys).agg(
         *[
-            F.max(F.when(F.col("part") == part, F.col(c))).alias(f"{c}_{part}")
+            F.expr(f"max({c}) FILTER (WHERE part = '{part}')").alias(f"{c}_{part}")
             for part in ("train", "test")
             for c in ("n", "moments")
         ]
     )
-    left, right = np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs])
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def stacked(column: pd.Series) -> np.ndarray:
-            blank = np.zeros(len(pairs))
-            flat = np.stack([blank if m is None else np.asarray(m) for m in column])
-            full = np.zeros((len(flat), size + 1, size + 1))
-            full[:, left, right] = flat
-            full[:, right, left] = flat
-            return full
-
         for batch in batches:
             if batch.empty:
                 continue
             n_train = batch["n_train"].fillna(0).astype("int64")
             n_test = batch["n_test"].fillna(0).astype("int64")
-            weights, rank = _solve(stacked(batch["moments_train"]), size)
+            train = _matrices(batch["moments_train"], size)
+            means = train[:, 1:, 0] / np.maximum(n_train.to_numpy(), 1)[:, None]
+            weights, rank = _solve(_centred(train, means))
             signed = np.concatenate([-weights, np.ones((len(batch), 1))], axis=1)
-            residual = np.einsum("ki,kij,kj->k", signed, stacked(batch["moments_test"]), signed)
-            scored = (n_train > 0) & (n_test > 0)
+            test = _centred(_matrices(batch["moments_test"], size), means)
+            residual = np.einsum("ki,kij,kj->k", signed, test, signed)
             out = batch[list(keys)].copy()
-            out["n_train"], out["n_test"], out["rank"] = n_train, n_test, rank.astype("int32")
+            out["n_train"], out["n_test"] = n_train, n_test
+            out["rank"] = (rank + (n_train > 0)).astype("int32")
             mean_error = np.maximum(residual, 0.0) / np.maximum(n_test, 1)
-            out["rmse"] = np.sqrt(mean_error).where(scored, None)
+            out["rmse"] = np.sqrt(mean_error).where((n_train > 0) & (n_test > 0), None)
             out["state"] = np.select(
-                [n_train == 0, n_test == 0, rank < size],
+                [n_train == 0, n_test == 0, out["rank"] < size - 1],
                 ["NO_TRAIN_ROWS", "NO_TEST_ROWS", "SINGULAR"],
                 "OK",
             )
             yield out
 
-    key_fields = [f for f in per_key.schema if f.name in keys]
     schema = T.StructType(
-        key_fields
+        [f for f in per_key.schema if f.name in keys]
         + [
             T.StructField("n_train", T.LongType()),
             T.StructField("n_test", T.LongType()),

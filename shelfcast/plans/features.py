@@ -9,8 +9,9 @@ from shelfcast.operators import encoding
 from shelfcast.operators.encoding import CATEGORICALS, VECTOR_ORDER
 from shelfcast.operators.indexing import category_index as number_categories
 from shelfcast.plans.registry import PANEL_KEY, over_panel, over_rated, register
+from shelfcast.plans.shared import stored_panel
 from shelfcast.scratch import fresh_path
-from shelfcast.sources.panel import labelled_panel, rated_documents, sales_panel
+from shelfcast.sources.panel import rated_documents
 from shelfcast.sources.sinks import write_parquet
 
 # Labels a fitted encoder may hold when no model limits the width of its input.
@@ -58,7 +59,7 @@ SLOTS_SQL = f"{INDEX_SQL}, slots AS ({_slots_sql()})"
 
 @register("category_index", over_panel(f"{INDEX_SQL} SELECT column_name, value, n, idx FROM idx"))
 def category_index(spark, sf_dir):
-    return number_categories(sales_panel(spark, sf_dir), CATEGORICALS)
+    return number_categories(stored_panel(spark, sf_dir), CATEGORICALS)
 
 
 @register(
@@ -75,7 +76,7 @@ def category_index(spark, sf_dir):
     ),
 )
 def onehot_slots(spark, sf_dir):
-    panel = sales_panel(spark, sf_dir).select("item_id", "store_id", "dn", "dept_id", "wday")
+    panel = stored_panel(spark, sf_dir).select("item_id", "store_id", "dn", "dept_id", "wday")
     hot = encoding.one_hot_by_join(panel, PANEL_KEY)
     set_slots = F.array(
         *[
@@ -90,7 +91,7 @@ def onehot_slots(spark, sf_dir):
 @register("assemble_features", over_panel(f"{SLOTS_SQL} SELECT * FROM slots"))
 def assemble_features(spark, sf_dir):
     columns = ["item_id", "store_id", "dept_id", "wday", *_NUMBERS]
-    hot = encoding.one_hot_by_join(sales_panel(spark, sf_dir).select(*columns), PANEL_KEY)
+    hot = encoding.one_hot_by_join(stored_panel(spark, sf_dir).select(*columns), PANEL_KEY)
     vectors = VectorAssembler(inputCols=VECTOR_ORDER, outputCol="features").transform(hot)
     return encoding.active_slots(vectors, PANEL_KEY)
 
@@ -106,7 +107,7 @@ def assemble_features(spark, sf_dir):
     ),
 )
 def prepare_panel(spark, sf_dir):
-    _, prepared = encoding.prepared_panel(labelled_panel(spark, sf_dir), max_width=ENCODER_LABELS)
+    _, prepared = encoding.prepared_panel(stored_panel(spark, sf_dir), max_width=ENCODER_LABELS)
     path = fresh_path(spark, "prepared")
     write_parquet(prepared, path)
     raw = F.unwrap_udt("features")
@@ -125,7 +126,7 @@ def prepare_panel(spark, sf_dir):
     ),
 )
 def vector_width(spark, sf_dir):
-    _, prepared = encoding.prepared_panel(labelled_panel(spark, sf_dir), max_width=ENCODER_LABELS)
+    _, prepared = encoding.prepared_panel(stored_panel(spark, sf_dir), max_width=ENCODER_LABELS)
     return encoding.vector_width(prepared)
 
 

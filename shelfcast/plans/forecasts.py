@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfcast.operators import forecast
+from shelfcast.operators import clean, forecast
 from shelfcast.plans.registry import (
     EVALUATION_CUT,
     HELD_OUT_SQL,
@@ -16,8 +16,9 @@ from shelfcast.plans.registry import (
 from shelfcast.operators.models import fitted_line
 from shelfcast.operators.sampling import train_and_test
 from shelfcast.operators.store import ModelStore
+from shelfcast.plans.shared import stored_panel
 from shelfcast.scratch import fresh_path
-from shelfcast.sources.panel import known_rows, rows_to_predict, sales_panel
+from shelfcast.sources.panel import rows_to_predict, sales_panel
 
 VALIDATION = forecast.Horizon("validation", VALIDATION_CUT)
 EVALUATION = forecast.Horizon("evaluation", EVALUATION_CUT)
@@ -94,10 +95,11 @@ def pivot_two_keys(spark, sf_dir):
     ),
 )
 def submission_from_model(spark, sf_dir):
-    train, _ = train_and_test(known_rows(spark, sf_dir), PANEL_KEY)
+    panel = stored_panel(spark, sf_dir)
+    train, _ = train_and_test(clean.known(panel), PANEL_KEY)
     store = ModelStore(spark, fresh_path(spark, "models"))
-    store.save(fitted_line(train, "dn"), "line")
-    predictions = store.load("line").transform(rows_to_predict(spark, sf_dir))
+    store.save(fitted_line(train.select("dn", "label"), "dn"), "line")
+    predictions = store.load("line").transform(clean.to_predict(panel))
     return forecast.forecast_table(
         predictions.select("dn", "item_id", "store_id", "prediction"), [VALIDATION, EVALUATION]
     )

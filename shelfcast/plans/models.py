@@ -7,15 +7,15 @@ from pyspark.ml import Pipeline
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import functions as F
 
-from shelfcast.operators import encoding, forest, grouped, training
+from shelfcast.operators import clean, encoding, forest, grouped, training
 from shelfcast.operators.boxstats import box_statistics
 from shelfcast.operators.models import fitted_line, predicted_unknown
 from shelfcast.operators.sampling import SPLIT_SEED, train_and_test, with_part
 from shelfcast.operators.store import ModelStore
 from shelfcast.plans.registry import HELD_OUT_SQL, PANEL_KEY, over_panel, register
-from shelfcast.plans.shared import stored_prepared_panel
+from shelfcast.plans.shared import stored_panel, stored_prepared_panel
 from shelfcast.scratch import fresh_path
-from shelfcast.sources.panel import known_rows, rated_documents, rows_to_predict
+from shelfcast.sources.panel import known_rows, rated_documents
 
 _LINE_SQL = over_panel(
     """, fit AS (SELECT regr_intercept(label, dn) AS a, regr_slope(label, dn) AS b FROM panel WHERE label IS NOT NULL)
@@ -23,20 +23,24 @@ _LINE_SQL = over_panel(
 )
 
 
+def _line(spark, sf_dir):
+    return fitted_line(clean.known(stored_panel(spark, sf_dir)).select("dn", "label"), "dn")
+
+
 def _line_predictions(model, spark, sf_dir):
-    predicted = model.transform(rows_to_predict(spark, sf_dir))
+    predicted = model.transform(clean.to_predict(stored_panel(spark, sf_dir)))
     return predicted.select("item_id", "store_id", "dn", F.round("prediction", 6).alias("prediction"))
 
 
 @register("linear_regression", _LINE_SQL)
 def linear_regression(spark, sf_dir):
-    return _line_predictions(fitted_line(known_rows(spark, sf_dir), "dn"), spark, sf_dir)
+    return _line_predictions(_line(spark, sf_dir), spark, sf_dir)
 
 
 @register("model_store_roundtrip", _LINE_SQL)
 def model_store_roundtrip(spark, sf_dir):
     store = ModelStore(spark, fresh_path(spark, "models"))
-    store.save(fitted_line(known_rows(spark, sf_dir), "dn"), "line")
+    store.save(_line(spark, sf_dir), "line")
     return _line_predictions(store.load("line"), spark, sf_dir)
 
 
@@ -70,7 +74,7 @@ def _register_by_store(name: str, family: str, link: str) -> None:
         ),
     )
     def query(spark, sf_dir):
-        known = known_rows(spark, sf_dir).select("store_id", "label")
+        known = clean.known(stored_panel(spark, sf_dir)).select("store_id", "label")
         steps = Pipeline(
             stages=[
                 StringIndexer(inputCol="store_id", outputCol="istore_id"),
@@ -127,13 +131,13 @@ def per_key_rmse(spark, sf_dir):
 
 @register("per_key_least_squares")
 def per_key_least_squares(spark, sf_dir):
-    parted = with_part(known_rows(spark, sf_dir), PANEL_KEY)
+    parted = with_part(clean.known(stored_panel(spark, sf_dir)), PANEL_KEY)
     return grouped.least_squares_per_key(parted, ["item_id", "store_id"], grouped.panel_inputs(), "label")
 
 
 @register("per_department_least_squares")
 def per_department_least_squares(spark, sf_dir):
-    parted = with_part(known_rows(spark, sf_dir), PANEL_KEY)
+    parted = with_part(clean.known(stored_panel(spark, sf_dir)), PANEL_KEY)
     return grouped.least_squares_per_key(parted, ["dept_id"], grouped.panel_inputs(), "label")
 
 

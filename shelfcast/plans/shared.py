@@ -10,6 +10,10 @@ from shelfcast.scratch import shared_root
 from shelfcast.sources.panel import known_rows, labelled_panel
 from shelfcast.sources.sinks import materialize_once
 
+# Width of the registered models' input, and the slots of a hashed column in it.
+MODEL_WIDTH = 512
+MODEL_HASH_SLOTS = 256
+
 
 def data_tag(sf_dir: str) -> str:
     return hashlib.md5(sf_dir.rstrip("/").encode()).hexdigest()[:12]
@@ -21,7 +25,22 @@ def stored_top_cells(spark, sf_dir):
     return materialize_once(spark, path, lambda: aggregate.top_cells(known_rows(spark, sf_dir)))
 
 
+def stored_panel(spark, sf_dir):
+    """Labelled panel for queries that read it several times."""
+    path = f"{shared_root(spark)}/panel-{data_tag(sf_dir)}"
+    return materialize_once(spark, path, lambda: labelled_panel(spark, sf_dir))
+
+
 def stored_prepared_panel(spark, sf_dir):
-    """Encoded panel that the models train on and predict from."""
+    """Encoded panel that the models train on and predict from.
+
+    Items are hashed beyond a fixed width, so the models keep their size however many
+    items the tables hold.
+    """
     path = f"{shared_root(spark)}/prepared-{data_tag(sf_dir)}"
-    return materialize_once(spark, path, lambda: prepared_panel(labelled_panel(spark, sf_dir))[1])
+
+    def build():
+        panel = stored_panel(spark, sf_dir)
+        return prepared_panel(panel, max_width=MODEL_WIDTH, hash_slots=MODEL_HASH_SLOTS)[1]
+
+    return materialize_once(spark, path, build)
