@@ -21,19 +21,20 @@ MAX_WIDTH = 4096
 HASH_SLOTS = 1024
 
 
-def one_hot_columns(df: DataFrame, categoricals: Sequence[str], budget: int) -> list[str]:
-    """Categoricals whose categories fit the budget together, fewest categories first.
+def category_counts(df: DataFrame, categoricals: Sequence[str]) -> dict[str, int]:
+    """About how many categories each column has, rounded up past the sketch's error (5 %)."""
+    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in categoricals]).first()
+    return {c: int(sizes[c] * 1.15) + 1 for c in categoricals}
 
-    Counted by sketch, with room for its error: the labels of a column that passes end
-    up on the driver and in every task.
-    """
-    sizes = df.agg(*[F.approx_count_distinct(c, 0.01).alias(c) for c in categoricals]).first()
-    fitting, used = [], 0
-    for c in sorted(categoricals, key=lambda name: sizes[name]):
-        used += int(sizes[c] * 1.05) + 1
+
+def fitting_columns(sizes: dict[str, int], budget: int) -> list[str]:
+    """Columns whose categories fit the budget together, fewest categories first."""
+    fitting, used = set(), 0
+    for c in sorted(sizes, key=lambda name: sizes[name]):
+        used += sizes[c]
         if used <= budget:
-            fitting.append(c)
-    return [c for c in categoricals if c in fitting]
+            fitting.add(c)
+    return [c for c in sizes if c in fitting]
 
 
 def encoder(
@@ -47,13 +48,16 @@ def encoder(
     """Unfitted encoder chain ending in ``features``.
 
     Category numbers and one-hot blocks without their last category; a column with too
-    many categories for ``max_width`` is hashed into ``hash_slots`` slots instead.
+    many categories for ``max_width`` is hashed into ``hash_slots`` slots instead. The
+    labels of an indexed column are held by the driver and every task; the width bounds
+    their number.
     """
-    numerics = len(vector_order) - len(categoricals)
-    indexed = one_hot_columns(df, categoricals, max_width - numerics)
+    budget = max_width - (len(vector_order) - len(categoricals))
+    sizes = category_counts(df, categoricals)
+    indexed = fitting_columns(sizes, budget)
     if len(indexed) < len(categoricals):
-        hashed_width = hash_slots * (len(categoricals) - len(indexed))
-        indexed = one_hot_columns(df, categoricals, max_width - numerics - hashed_width)
+        hashed = len(categoricals) - len(indexed)
+        indexed = fitting_columns({c: sizes[c] for c in indexed}, budget - hashed * hash_slots)
     stages = []
     if indexed:
         stages += [

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from shelfcast.functions.columns import non_negative
@@ -84,17 +84,22 @@ def _solve(comoments: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.einsum("kij,kj->ki", vectors, projected) / scale, kept.sum(axis=1)
 
 
-def _matrices(column: pd.Series, size: int) -> np.ndarray:
+def _matrices(halves: pa.ListArray, size: int) -> np.ndarray:
     """Symmetric matrices from their upper halves; zeros where there is none."""
-    blank = np.zeros(size * (size + 1) // 2)
-    flat = np.stack([blank if half is None else np.asarray(half) for half in column])
     upper = np.triu_indices(size)
+    flat = np.zeros((len(halves), len(upper[0])))
+    present = halves.is_valid().to_numpy(zero_copy_only=False)
+    flat[present] = halves.flatten().to_numpy().reshape(-1, flat.shape[1])
     full = np.zeros((len(flat), size, size))
     full[:, upper[0], upper[1]] = flat
     full[:, upper[1], upper[0]] = flat
     return full
 
 
+def _counts(column: pa.Array) -> np.ndarray:
+    return column.fill_null(0).to_numpy()
+
+
 def least_squares_per_key(
     parted: DataFrame,
     keys: Sequence[str],
@@ -128,32 +133,43 @@ def least_squares_per_key(
         ]
     )
 
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.empty:
+            if batch.num_rows == 0:
                 continue
-            n_train = batch["n_train"].fillna(0).astype("int64")
-            n_test = batch["n_test"].fillna(0).astype("int64")
+            n_train, n_test = _counts(batch["n_train"]), _counts(batch["n_test"])
             train = _matrices(batch["moments_train"], size)
-            means = train[:, 1:, 0] / np.maximum(n_train.to_numpy(), 1)[:, None]
-            weights, rank = _solve(_centred(train, means))
-            signed = np.concatenate([-weights, np.ones((len(batch), 1))], axis=1)
+            means = train[:, 1:, 0] / np.maximum(n_train, 1)[:, None]
+            weights = np.zeros((len(train), size - 2))
+            rank = np.zeros(len(train), dtype="int32")
+            # A single row determines the level only.
+            several = n_train > 1
+            if several.any():
+                weights[several], rank[several] = _solve(_centred(train[several], means[several]))
+            rank[n_train > 0] += 1
+            signed = np.concatenate([-weights, np.ones((len(train), 1))], axis=1)
             test = _centred(_matrices(batch["moments_test"], size), means)
             residual = np.einsum("ki,kij,kj->k", signed, test, signed)
-            out = batch[list(keys)].copy()
-            out["n_train"], out["n_test"] = n_train, n_test
-            out["rank"] = (rank + (n_train > 0)).astype("int32")
-            mean_error = np.maximum(residual, 0.0) / np.maximum(n_test, 1)
-            out["rmse"] = np.sqrt(mean_error).where((n_train > 0) & (n_test > 0), None)
-            out["state"] = np.select(
-                [n_train == 0, n_test == 0, out["rank"] < size - 1],
+            rmse = np.sqrt(np.maximum(residual, 0.0) / np.maximum(n_test, 1))
+            state = np.select(
+                [n_train == 0, n_test == 0, rank < size - 1],
                 ["NO_TRAIN_ROWS", "NO_TEST_ROWS", "SINGULAR"],
                 "OK",
             )
-            yield out
+            yield pa.RecordBatch.from_arrays(
+                [batch[k] for k in keys]
+                + [
+                    pa.array(n_train),
+                    pa.array(n_test),
+                    pa.array(rank),
+                    pa.array(rmse, mask=(n_train == 0) | (n_test == 0)),
+                    pa.array(state.tolist(), pa.string()),
+                ],
+                names=[*keys, "n_train", "n_test", "rank", "rmse", "state"],
+            )
 
     schema = T.StructType(
-        [f for f in per_key.schema if f.name in keys]
+        [per_key.schema[k] for k in keys]
         + [
             T.StructField("n_train", T.LongType()),
             T.StructField("n_test", T.LongType()),
@@ -162,4 +178,4 @@ def least_squares_per_key(
             T.StructField("state", T.StringType()),
         ]
     )
-    return per_key.mapInPandas(solve, schema)
+    return per_key.mapInArrow(solve, schema)

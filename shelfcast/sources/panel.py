@@ -29,26 +29,25 @@ def sales_panel(
 
     A day range becomes a plain comparison on the ship date, which parquet can skip
     row groups by; the same test on ``dn`` after the aggregation could not be pushed.
-    Units are summed per item, store and day before the item table is joined, so a
-    best-selling item reaches that join with at most stores x days rows.
+    Units are summed per item, store and day on plain numbers before names and item
+    fields are joined, so a best-selling item reaches those joins with at most
+    stores x days rows.
     """
     lines = read_named(spark, sf_dir, "lineitem")
     if first_day is not None:
         lines = lines.where(F.col("l_shipdate") >= _midnight(first_day))
     if last_day is not None:
         lines = lines.where(F.col("l_shipdate") < _midnight(last_day + 1))
-    supplier = read_named(spark, sf_dir, "supplier")
-    nation = read_named(spark, sf_dir, "nation")
-    stores = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        "s_suppkey", F.col("n_name").alias("store_id")
-    )
+    stores = read_named(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    names = read_named(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("store_id"))
     items = read_named(spark, sf_dir, "part").select(
         "p_partkey", F.col("p_type").alias("dept_id")
     )
     daily = (
         lines.join(stores, F.col("l_suppkey") == F.col("s_suppkey"))
-        .groupBy("l_partkey", "store_id", F.to_date("l_shipdate").alias("day"))
+        .groupBy("l_partkey", "s_nationkey", F.to_date("l_shipdate").alias("day"))
         .agg(F.sum("l_quantity").alias("units"))
+        .join(names, F.col("s_nationkey") == F.col("n_nationkey"))
     )
     day = F.col("day")
     dn = F.datediff(day, F.lit(DAY_ZERO))
