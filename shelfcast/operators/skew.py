@@ -21,8 +21,10 @@ def spread_join(
 
     The split follows the hash of ``spread_by``, so it is the same in a retried task.
     While ``lookup`` is small Spark broadcasts it by its own size check; beyond that the
-    rows of a hot key reach ``ways`` tasks instead of one. ``lookup`` is repeated
-    ``ways`` times, which is cheap next to ``rows``.
+    rows of a hot key reach ``ways`` tasks instead of one. Adaptive execution can split
+    further: no later grouping by the key alone can rely on this partitioning, which is
+    what would hold it back. ``lookup`` is repeated ``ways`` times, which is cheap next
+    to ``rows``.
     """
     left = rows.withColumn(SALT, F.pmod(F.xxhash64(*spread_by), F.lit(ways)))
     right = lookup.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(ways - 1)).cast("array<bigint>")))

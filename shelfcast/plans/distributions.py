@@ -9,6 +9,7 @@ from shelfcast.operators.boxstats import box_groupings, box_statistics
 from shelfcast.plans.registry import over_panel, register
 from shelfcast.plans.shared import stored_top_cells
 from shelfcast.plans.totals import TOP_CELLS_SQL
+from shelfcast.sources.panel import known_rows, rows_to_predict
 
 # SQL twins of the grouping labels.
 LABEL_SQL = {
@@ -67,3 +68,21 @@ _ALL_ROWS = " UNION ALL ".join(
 def box_all_groupings(spark, sf_dir):
     boxes = box_groupings(stored_top_cells(spark, sf_dir), box_labels(), "sum_label")
     return boxes.withColumnRenamed("grouping", "grouping_name").orderBy("grouping_name", F.col("key"))
+
+
+@register(
+    "box_predicted_and_known",
+    over_panel(
+        box_sql(
+            """SELECT 'known' AS key, sales AS v FROM panel WHERE label IS NOT NULL UNION ALL
+            SELECT 'predicted', Sales_Pred FROM panel WHERE label IS NULL AND Sales_Pred IS NOT NULL""",
+            "key",
+        )
+    ),
+)
+def box_predicted_and_known(spark, sf_dir):
+    known = known_rows(spark, sf_dir).select(F.lit("known").alias("key"), F.col("sales").alias("v"))
+    predicted = rows_to_predict(spark, sf_dir).select(
+        F.lit("predicted").alias("key"), F.col("Sales_Pred").alias("v")
+    )
+    return box_statistics(known.unionByName(predicted), ["key"], "v").orderBy("key")

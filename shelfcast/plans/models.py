@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml import Pipeline
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import functions as F
 
 from shelfcast.operators import clean, encoding, forest, grouped, training
 from shelfcast.operators.boxstats import box_statistics
+from shelfcast.operators.evaluate import rmse_of
 from shelfcast.operators.models import fitted_line, predicted_unknown
-from shelfcast.operators.sampling import SPLIT_SEED, train_and_test, with_part
+from shelfcast.operators.sampling import SPLIT_SEED, train_and_test, with_part, with_random_part
 from shelfcast.operators.store import ModelStore
 from shelfcast.plans.registry import HELD_OUT_SQL, PANEL_KEY, over_panel, register
 from shelfcast.plans.shared import stored_panel, stored_prepared_panel
@@ -129,6 +130,26 @@ def per_key_rmse(spark, sf_dir):
     return errors.withColumn("rmse", F.round("rmse", 6))
 
 
+@register(
+    "per_key_rmse_by_moments",
+    over_panel(
+        f""", fit AS (
+          SELECT item_id, regr_slope(label, dn) AS a, regr_intercept(label, dn) AS b
+          FROM panel WHERE label IS NOT NULL AND NOT ({HELD_OUT_SQL}) GROUP BY item_id
+        )
+        SELECT fit.item_id, round(sqrt(avg(pow(label - a * dn - b, 2))), 6) AS rmse
+        FROM panel p JOIN fit ON fit.item_id = p.item_id
+        WHERE label IS NOT NULL AND a IS NOT NULL AND {HELD_OUT_SQL.replace('item_id', 'p.item_id')}
+        GROUP BY fit.item_id"""
+    ),
+)
+def per_key_rmse_by_moments(spark, sf_dir):
+    """The general solver with the day as only input finds the same lines."""
+    parted = with_part(clean.known(stored_panel(spark, sf_dir)), PANEL_KEY)
+    fitted = grouped.least_squares_per_key(parted, ["item_id"], {"dn": F.col("dn")}, "label")
+    return fitted.where(F.col("state") == "OK").select("item_id", F.round("rmse", 6).alias("rmse"))
+
+
 @register("per_key_least_squares")
 def per_key_least_squares(spark, sf_dir):
     parted = with_part(clean.known(stored_panel(spark, sf_dir)), PANEL_KEY)
@@ -162,6 +183,16 @@ def tuned_training(spark, sf_dir):
     return training.leaderboard(spark, results)
 
 
+@register("gbt_holdout_rmse")
+def gbt_holdout_rmse(spark, sf_dir):
+    panel = clean.known(stored_prepared_panel(spark, sf_dir)).select("features", "label")
+    parted = with_random_part(panel, 0.7)
+    chain = Pipeline(stages=[GBTRegressor(maxIter=10, seed=SPLIT_SEED)])
+    model = chain.fit(parted.where(F.col("part") == "train"))
+    held_out = model.transform(parted.where(F.col("part") == "test"))
+    return held_out.agg(rmse_of().alias("rmse"), F.count("*").alias("n_test"))
+
+
 def _rated_features(spark, sf_dir):
     """Documents with features for the rating; fitted on rated and unrated ones."""
     rated = rated_documents(spark, sf_dir).withColumn("label", F.col("quality").cast("double"))

@@ -26,9 +26,15 @@ def stored_top_cells(spark, sf_dir):
 
 
 def stored_panel(spark, sf_dir):
-    """Labelled panel for queries that read it several times."""
+    """Labelled panel for queries that read it several times.
+
+    Files are in day order, so a reader of the history or of the days to predict skips
+    the row groups of the other.
+    """
     path = f"{shared_root(spark)}/panel-{data_tag(sf_dir)}"
-    return materialize_once(spark, path, lambda: labelled_panel(spark, sf_dir))
+    return materialize_once(
+        spark, path, lambda: labelled_panel(spark, sf_dir).sortWithinPartitions("dn")
+    )
 
 
 def stored_prepared_panel(spark, sf_dir):
