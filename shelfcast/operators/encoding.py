@@ -5,7 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    FeatureHasher,
+    OneHotEncoder,
+    StringIndexer,
+    VectorAssembler,
+    VectorSlicer,
+)
 from pyspark.sql import DataFrame, functions as F
 
 from shelfcast.operators.indexing import category_index, with_category_numbers
@@ -72,9 +78,12 @@ def encoder(
         ]
     for c in categoricals:
         if c not in indexed:
-            stages.append(
-                FeatureHasher(inputCols=[c], outputCol=f"v{c}", categoricalCols=[c], numFeatures=hash_slots)
-            )
+            stages += [
+                FeatureHasher(inputCols=[c], outputCol=f"h{c}", categoricalCols=[c], numFeatures=hash_slots),
+                # Like the last category, the last slot is left out: with all of them the
+                # block would always sum to the intercept.
+                VectorSlicer(inputCol=f"h{c}", outputCol=f"v{c}", indices=list(range(hash_slots - 1))),
+            ]
     stages.append(VectorAssembler(inputCols=list(vector_order), outputCol="features"))
     return Pipeline(stages=stages)
 

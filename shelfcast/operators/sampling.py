@@ -6,12 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from shelfcast.operators.indexing import with_position
 from shelfcast.scratch import stage
 
 # Fixed value: first hash byte (as hex) of the held-out rows; below it lie 230 of 256
 # bytes, about 90 %.
 HOLD_OUT_FROM = "e6"
 
+# Largest sample that is picked in one task.
+ROWS_IN_ONE_TASK = 100_000
+
 # Fixed value: seed of the random splits.
 SPLIT_SEED = 12345
 
@@ -46,12 +50,19 @@ def with_random_part(df: DataFrame, train_share: float, seed: int = SPLIT_SEED)
     return drawn.withColumn("part", part).drop("_draw")
 
 
-def hash_sample(df: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
-    """``size`` rows, the first in hash order. Every task keeps its own first rows, so
-    nothing but those is shuffled."""
-    return (
-        df.withColumn("_hash", row_hash(keys)).orderBy("_hash", *keys).limit(size).drop("_hash")
-    )
+def hash_sample(
+    df: DataFrame, keys: Sequence[str], size: int, in_one_task: int = ROWS_IN_ONE_TASK
+) -> DataFrame:
+    """``size`` rows, the first in hash order.
+
+    For a small sample every task keeps its own first rows and one task picks among
+    those. A large one is cut from the global order, which stays spread over the tasks.
+    """
+    hashed = df.withColumn("_hash", row_hash(keys))
+    if size <= in_one_task:
+        return hashed.orderBy("_hash", *keys).limit(size).drop("_hash")
+    placed = with_position(hashed, ["_hash", *keys], "_position")
+    return placed.where(F.col("_position") < size).drop("_hash", "_position")
 
 
 def stratified_sample(panel: DataFrame, keys: Sequence[str], known_size: int, predict_size: int) -> DataFrame:

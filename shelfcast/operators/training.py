@@ -90,6 +90,16 @@ def standard_candidates() -> list[Candidate]:
     ]
 
 
+def fit_persisted(estimator: Estimator, train: DataFrame):
+    """Fit on rows kept for the passes of an iterative estimator; what a lost executor held
+    is read again."""
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return estimator.fit(train)
+    finally:
+        train.unpersist()
+
+
 def _fit(candidate: Candidate, train: DataFrame, searched: bool, parallelism: int):
     if not searched:
         return candidate.estimator.fit(train)

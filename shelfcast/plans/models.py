@@ -54,7 +54,7 @@ def _register_regression(name: str, new_estimator) -> None:
     def query(spark, sf_dir):
         panel = stored_prepared_panel(spark, sf_dir)
         train = panel.where(F.col("label").isNotNull()).select("features", "label")
-        predicted = predicted_unknown(new_estimator().fit(train), panel)
+        predicted = predicted_unknown(training.fit_persisted(new_estimator(), train), panel)
         return predicted.select("item_id", "store_id", "dn", "prediction")
 
 
@@ -84,7 +84,7 @@ def _register_by_store(name: str, family: str, link: str) -> None:
                 _glr(family, link),
             ]
         )
-        predicted = steps.fit(known).transform(known)
+        predicted = training.fit_persisted(steps, known).transform(known)
         return predicted.groupBy("store_id").agg(
             F.round(F.avg("prediction"), 4).alias("prediction"), F.count("*").alias("n_train")
         )
@@ -188,7 +188,7 @@ def gbt_holdout_rmse(spark, sf_dir):
     panel = clean.known(stored_prepared_panel(spark, sf_dir)).select("features", "label")
     parted = with_random_part(panel, 0.7)
     chain = Pipeline(stages=[GBTRegressor(maxIter=10, seed=SPLIT_SEED)])
-    model = chain.fit(parted.where(F.col("part") == "train"))
+    model = training.fit_persisted(chain, parted.where(F.col("part") == "train"))
     held_out = model.transform(parted.where(F.col("part") == "test"))
     return held_out.agg(rmse_of().alias("rmse"), F.count("*").alias("n_test"))
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from shelfcast.operators import sampling
 from shelfcast.plans.registry import HELD_OUT_SQL, PANEL_KEY, over_panel, register
+from shelfcast.plans.shared import stored_panel
 from shelfcast.scratch import fresh_path
-from shelfcast.sources.panel import known_rows, labelled_panel
+from shelfcast.sources.panel import known_rows
 from shelfcast.sources.sinks import write_parquet
 
 # Known rows and rows to predict of the small and the medium sample.
@@ -24,7 +25,7 @@ def _sample_sql(known: int, unknown: int) -> str:
 
 
 def _stored_sample(spark, sf_dir, sizes):
-    sample = sampling.stratified_sample(labelled_panel(spark, sf_dir), PANEL_KEY, *sizes)
+    sample = sampling.stratified_sample(stored_panel(spark, sf_dir), PANEL_KEY, *sizes)
     path = fresh_path(spark, "sample")
     write_parquet(sample.select("item_id", "store_id", "dn", "label"), path)
     return spark.read.parquet(path)
@@ -42,7 +43,7 @@ def stratified_sample_medium(spark, sf_dir):
 
 @register("stratified_fraction")
 def stratified_fraction(spark, sf_dir):
-    panel = labelled_panel(spark, sf_dir)
+    panel = stored_panel(spark, sf_dir)
     return sampling.stratified_fraction(panel, *MEDIUM).select("item_id", "store_id", "dn", "label")
 
 

@@ -67,7 +67,7 @@ def test_wide_columns_are_hashed(spark):
     )
     chain = encoding.encoder(df, ["item", "dept"], ["vitem", "vdept", "id"], max_width=100, hash_slots=64)
     done = encoding.encoded(chain.fit(df), df)
-    assert encoding.vector_width(done).first()["width"] == 64 + 3 + 1
+    assert encoding.vector_width(done).first()["width"] == 63 + 3 + 1
 
 
 def test_dummy_columns(spark):

@@ -106,6 +106,14 @@ def test_random_split_is_disjoint_and_complete(spark):
     assert 0.67 < parted.where("part = 'train'").count() / 10_000 < 0.73
 
 
+def test_large_sample_equals_small_sample(spark):
+    df = spark.range(5000).repartition(9)
+    picked = sampling.hash_sample(df, ["id"], 700)
+    spread = sampling.hash_sample(df, ["id"], 700, in_one_task=10)
+    assert {r["id"] for r in picked.collect()} == {r["id"] for r in spread.collect()}
+    assert spread.columns == ["id"] and spread.count() == 700
+
+
 def test_stratified_samples(spark):
     panel = spark.range(3000).withColumn("label", F.when(F.col("id") % 3 > 0, 1.0))
     sample = sampling.stratified_sample(panel, ["id"], 200, 50)
