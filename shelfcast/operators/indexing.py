@@ -72,10 +72,14 @@ def with_category_numbers(
     Numbers come by join, so no list of categories passes through the driver and a
     frequent category is spread over tasks once the index is too large to broadcast.
     """
+    per_column = index.groupBy("column_name").agg(F.count("*").alias("n_values")).collect()
+    sizes = {row["column_name"]: row["n_values"] for row in per_column}
     for c in columns:
         numbers = index.where(F.col("column_name") == c).select(
             F.col("value").alias("_value"), F.col("idx").cast("double").alias(f"i{c}")
         )
         keyed = df.withColumn("_value", F.col(c).cast("string"))
-        df = spread_join(keyed, numbers, ["_value"], spread_by, how="left").drop("_value")
+        df = spread_join(
+            keyed, numbers, ["_value"], spread_by, lookup_rows=sizes.get(c, 0), how="left"
+        ).drop("_value")
     return df

@@ -8,24 +8,32 @@ from pyspark.sql import DataFrame, functions as F
 
 SALT = "_salt"
 
+# A lookup of up to this many rows is a few megabytes; Spark broadcasts it by its own
+# size check, and no key is shuffled at all.
+PLAIN_LOOKUP_ROWS = 100_000
+
 
 def spread_join(
     rows: DataFrame,
     lookup: DataFrame,
     keys: Sequence[str],
     spread_by: Sequence[str],
+    lookup_rows: int,
     how: str = "inner",
     ways: int = 16,
 ) -> DataFrame:
-    """Join ``rows`` to ``lookup`` (one row per key), splitting each key ``ways`` ways.
-
-    The split follows the hash of ``spread_by``, so it is the same in a retried task.
-    While ``lookup`` is small Spark broadcasts it by its own size check; beyond that the
-    rows of a hot key reach ``ways`` tasks instead of one. Adaptive execution can split
-    further: no later grouping by the key alone can rely on this partitioning, which is
-    what would hold it back. ``lookup`` is repeated ``ways`` times, which is cheap next
-    to ``rows``.
+    """Join ``rows`` to ``lookup`` (one row per key), of which ``lookup_rows`` is a proven
+    upper bound on the row count.
+
+    A lookup beyond ``PLAIN_LOOKUP_ROWS`` is repeated ``ways`` times and merge-joined, so
+    that the rows of a hot key reach ``ways`` tasks instead of one; the hint keeps the
+    repeated lookup from being broadcast. The split follows the hash of ``spread_by``, so
+    it is the same in a retried task. Adaptive execution can split further: no later
+    grouping by the key alone can rely on this partitioning, which would hold it back.
     """
+    if lookup_rows <= PLAIN_LOOKUP_ROWS:
+        return rows.join(lookup, list(keys), how)
     left = rows.withColumn(SALT, F.pmod(F.xxhash64(*spread_by), F.lit(ways)))
-    right = lookup.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(ways - 1)).cast("array<bigint>")))
+    salts = F.sequence(F.lit(0), F.lit(ways - 1)).cast("array<bigint>")
+    right = lookup.withColumn(SALT, F.explode(salts)).hint("merge")
     return left.join(right, [*keys, SALT], how).drop(SALT)

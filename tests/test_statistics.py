@@ -9,7 +9,7 @@ import pytest
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
-from shelfcast.operators import sampling
+from shelfcast.operators import sampling, skew
 from shelfcast.operators.boxstats import box_statistics, quantiles, value_counts
 from shelfcast.operators.indexing import category_index, with_category_numbers, with_position
 from shelfcast.operators.skew import spread_join
@@ -83,15 +83,26 @@ def test_category_index_equals_string_indexer(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_spread_join_equals_join(spark, skewed, how):
+@pytest.mark.parametrize("lookup_rows", [3, 10**9])
+def test_spread_join_equals_join(spark, skewed, how, lookup_rows):
     rows = spark.createDataFrame(skewed, "k string, v double")
     lookup = spark.createDataFrame([("hot", 1), ("k3", 2), ("absent", 3)], "k string, n int")
-    spread = spread_join(rows, lookup, ["k"], ["v"], how)
+    spread = spread_join(rows, lookup, ["k"], ["v"], lookup_rows, how)
     plain = rows.join(lookup, "k", how)
     order = lambda df: sorted(map(str, df.select("k", "v", "n").collect()))
     assert order(spread) == order(plain)
 
 
+def test_large_lookups_are_merged_in_parts(spark, skewed, monkeypatch):
+    df = spark.createDataFrame(skewed, "k string, v double")
+    plain = box_statistics(df, ["k"], "v").orderBy("k").collect()
+    monkeypatch.setattr(skew, "PLAIN_LOOKUP_ROWS", 0)
+    spread = box_statistics(df, ["k"], "v", in_memory=5)
+    plan = spread._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert [tuple(r) for r in spread.orderBy("k").collect()] == [tuple(r) for r in plain]
+
+
 def test_hash_split_is_disjoint_and_complete(spark):
     df = spark.range(20_000)
     train, test = sampling.train_and_test(df, ["id"])
