@@ -39,18 +39,19 @@ def per_column(df: DataFrame, measures: dict[str, dict]) -> DataFrame:
     """
     columns = list(next(iter(measures.values())))
     wide = df.agg(
-        *[agg.alias(f"{name}\x00{c}") for name, by_col in measures.items() for c, agg in by_col.items()]
-    )
-    rows = F.array(
         *[
-            F.struct(
-                F.lit(c).alias("column_name"),
-                *[F.col(f"`{name}\x00{c}`").alias(name) for name in measures],
-            )
-            for c in columns
+            by_column[c].alias(f"_{name}_{i}")
+            for name, by_column in measures.items()
+            for i, c in enumerate(columns)
         ]
     )
-    return wide.select(F.inline(rows))
+    rows = [
+        F.struct(
+            F.lit(c).alias("column_name"), *[F.col(f"_{name}_{i}").alias(name) for name in measures]
+        )
+        for i, c in enumerate(columns)
+    ]
+    return wide.select(F.inline(F.array(*rows)))
 
 
 def missing_by_column(df: DataFrame) -> DataFrame:

@@ -32,31 +32,31 @@ LEADERBOARD_SCHEMA = T.StructType(
 )
 
 
+# What the searches try, by parameter name.
+LINEAR_GRID = {"regParam": [0.1, 0.01], "fitIntercept": [False, True]}
+TREE_GRID = {"maxBins": [16, 32], "maxDepth": [5, 10]}
+
+
+def _grid(estimator: Estimator, values: dict[str, list]) -> list:
+    builder = ParamGridBuilder()
+    for name, tried in values.items():
+        builder = builder.addGrid(estimator.getParam(name), tried)
+    return builder.build()
+
+
 def linear_grid(estimator: Estimator) -> list:
     """Regularization and intercept."""
-    # Fixed values.
-    return (
-        ParamGridBuilder()
-        .addGrid(estimator.regParam, [0.1, 0.01])
-        .addGrid(estimator.fitIntercept, [False, True])
-        .build()
-    )
+    return _grid(estimator, LINEAR_GRID)
 
 
 def tree_grid(estimator: Estimator) -> list:
     """Bins and depth."""
-    # Fixed values.
-    return (
-        ParamGridBuilder()
-        .addGrid(estimator.maxBins, [16, 32])
-        .addGrid(estimator.maxDepth, [5, 10])
-        .build()
-    )
+    return _grid(estimator, TREE_GRID)
 
 
 def single_point_grid(estimator: Estimator) -> list:
     """The estimator's own parameters only."""
-    return ParamGridBuilder().build()
+    return _grid(estimator, {})
 
 
 @dataclass(frozen=True)

@@ -4,24 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+_INT, _TEXT, _NUMBER = T.IntegerType(), T.StringType(), T.DoubleType()
+
 # Names, order and types of the panel fields.
-PANEL_SCHEMA = T.StructType(
-    [
-        T.StructField("year", T.IntegerType()),
-        T.StructField("month", T.IntegerType()),
-        T.StructField("dn", T.IntegerType()),
-        T.StructField("wday", T.IntegerType()),
-        T.StructField("snap", T.IntegerType()),
-        T.StructField("dept_id", T.StringType()),
-        T.StructField("item_id", T.StringType()),
-        T.StructField("store_id", T.StringType()),
-        T.StructField("sales", T.DoubleType()),
-        T.StructField("flag_ram", T.IntegerType()),
-        T.StructField("Sales_Pred", T.DoubleType()),
-    ]
-)
-
-LABELLED_SCHEMA = T.StructType(PANEL_SCHEMA.fields + [T.StructField("label", T.DoubleType())])
+_PANEL_FIELDS = {
+    "year": _INT,
+    "month": _INT,
+    "dn": _INT,
+    "wday": _INT,
+    "snap": _INT,
+    "dept_id": _TEXT,
+    "item_id": _TEXT,
+    "store_id": _TEXT,
+    "sales": _NUMBER,
+    "flag_ram": _INT,
+    "Sales_Pred": _NUMBER,
+}
+
+
+def _schema(fields: dict[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+PANEL_SCHEMA = _schema(_PANEL_FIELDS)
+LABELLED_SCHEMA = _schema(_PANEL_FIELDS | {"label": _NUMBER})
 
 
 def to_contract(df: DataFrame, contract: T.StructType) -> DataFrame:
