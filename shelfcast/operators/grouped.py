@@ -7,6 +7,7 @@ with a third of all rows costs a task no more than any other key.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -110,11 +111,13 @@ def least_squares_per_key(
 
     Output: keys, ``n_train``, ``n_test``, ``rank``, ``rmse``, ``state``. One pass sums the
     products of inputs and target; centring, solving and scoring work on those sums, whose
-    number does not grow with the rows of a key.
+    number does not grow with the rows of a key. Rows with a null input or target do not
+    take part.
     """
     size = len(inputs) + 2
     names = ["_one", *[f"_x{i}" for i in range(len(inputs))], "_y"]
-    rows = parted.where(F.col(y).isNotNull()).select(
+    whole = reduce(lambda a, b: a & b, [c.isNotNull() for c in [*inputs.values(), F.col(y)]])
+    rows = parted.where(whole).select(
         *keys,
         "part",
         F.lit(1.0).alias("_one"),

@@ -230,6 +230,13 @@ def test_least_squares_per_key(spark, panel_rows):
         assert row["state"] == "SINGULAR"  # flag_ram is constant here
 
 
+def test_least_squares_leaves_out_incomplete_rows(spark, panel_rows):
+    holes = panel_rows.withColumn("dn", F.when(F.col("i") % 4 > 0, F.col("dn")))
+    whole = holes.where("dn is not null")
+    fit = lambda df: grouped.least_squares_per_key(df, ["item_id"], {"dn": F.col("dn")}, "label")
+    assert {tuple(r) for r in fit(holes).collect()} == {tuple(r) for r in fit(whole).collect()}
+
+
 def test_split_keys_do_not_leak(spark, panel_rows):
     parted = with_part(panel_rows.drop("part"), ["item_id", "i"])
     assert parted.where(~F.col("part").isin("train", "test")).count() == 0
