@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import line_spread, source_mix, url_rules
+from shelfcast.llm import line_spread, source_mix, toxic_spans, url_rules
 
 QUERIES = {
+    "op4_toxicity": toxic_spans.query,
     "op5_line_dedup": line_spread.query,
     "op6_url_filters": url_rules.query,
     "op10_source_mix": source_mix.query,

@@ -17,7 +17,7 @@ WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MOST_EPOCHS = 2.0
 # Rows of one source whose keys a task sorts, on average.
-ROWS_PER_BIN = 20_000
+ROWS_PER_BIN = 5_000
 
 
 def word_count(text: str) -> Column:
