@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import line_spread, source_mix, toxic_spans, url_rules
+from shelfcast.llm import line_spread, piece_scan, source_mix, toxic_spans, url_rules
 
 QUERIES = {
     "op4_toxicity": toxic_spans.query,
     "op5_line_dedup": line_spread.query,
     "op6_url_filters": url_rules.query,
+    "op9_sentencepiece": piece_scan.query,
     "op10_source_mix": source_mix.query,
 }
 
