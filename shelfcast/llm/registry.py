@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import line_spread, piece_scan, source_mix, toxic_spans, url_rules
+from shelfcast.llm import bit_search, cap_links, line_spread, piece_scan, source_mix, toxic_spans, url_rules
 
 QUERIES = {
+    "op1_embedding_dedup": cap_links.query,
+    "op3_nearest": bit_search.query,
     "op4_toxicity": toxic_spans.query,
     "op5_line_dedup": line_spread.query,
     "op6_url_filters": url_rules.query,
