@@ -22,8 +22,8 @@ from shelfcast.llm.common import documents, each_batch, stage
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 16_384
 BLANK = "▁"
-WORDS_KEPT = 200_000
-CHARS_AT_ONCE = 2_000_000
+WORDS_KEPT = 60_000
+CHARS_AT_ONCE = 1_000_000
 DENSE = 255
 
 
@@ -51,7 +51,7 @@ class Pieces:
     piece, is written as bytes, so any text decodes to itself.
     """
 
-    def __init__(self, rows):
+    def __init__(self, rows, encodes: bool = True):
         self.score = np.array([r[1] for r in rows])
         normal = [(p, i) for i, (p, _, _) in enumerate(rows) if p]
         self.longest = max(len(p) for p, _ in normal)
@@ -65,6 +65,8 @@ class Pieces:
             data.append(bytes([byte]) if byte >= 0 else piece.encode())
         self.bytes = np.frombuffer(b"".join(data), np.uint8)
         self.bytes_at = np.concatenate([[0], np.cumsum([len(d) for d in data])])
+        if not encodes:
+            return
         # no piece goes on past a blank that follows something else: words are independent
         self.words_apart = not any(" " in p.lstrip(" ") for p, _ in normal)
         self._trie(normal)
@@ -336,14 +338,15 @@ def boundary_states(matrices: list[np.ndarray]) -> list[int]:
 
 
 @lru_cache(maxsize=1)
-def pieces(rows) -> Pieces:
-    """The vocabulary's arrays, built once in each worker."""
-    return Pieces(rows)
+def pieces(rows, encodes: bool = True) -> Pieces:
+    """The vocabulary's arrays, built once in each worker; decoding needs no trie."""
+    return Pieces(rows, encodes)
 
 
-def _in_parts(texts: list[str]) -> Iterator[list[str]]:
+def _in_parts(texts: pa.Array) -> Iterator[list[str]]:
     part, size = [], 0
-    for t in texts:
+    for text in texts:
+        t = text.as_py() or ""
         part.append(t)
         size += len(t)
         if size > CHARS_AT_ONCE:
@@ -370,14 +373,17 @@ def encode(docs: DataFrame, model_path: str = MODEL_PATH, chunk: int = CHUNK) ->
     rows = read_vocabulary(model_path)
     docs = docs.select("doc_id", "text")
 
-    def whole(batch):
-        texts = [t or "" for t in batch["text"].to_pylist()]
+    def whole(batches):
         coder = pieces(rows)
-        ids = [a for part in _in_parts(texts) for a in coder.encode(part)]
-        return pa.RecordBatch.from_arrays([batch["doc_id"], _id_lists(ids)], ["doc_id", "ids"])
+        for batch in batches:
+            done = 0
+            for part in _in_parts(batch["text"]):
+                ids = _id_lists(coder.encode(part))
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(done, len(part)), ids], ["doc_id", "ids"])
+                done += len(part)
 
     long = F.length("text") > chunk
-    small = each_batch(docs.where(~F.coalesce(long, F.lit(False))), whole, "doc_id long, ids array<int>")
+    small = docs.where(~F.coalesce(long, F.lit(False))).mapInArrow(whole, "doc_id long, ids array<int>")
     return small.unionAll(_encode_giants(docs.where(long), rows, chunk))
 
 
@@ -452,7 +458,7 @@ def decode(encoded: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
     rows = read_vocabulary(model_path)
 
     def work(batch):
-        coder = pieces(rows)
+        coder = pieces(rows, False)
         flat = [None if i is None else coder.decode(np.array(i, np.int64)) for i in _lists(batch["ids"])]
         return pa.RecordBatch.from_arrays([batch["doc_id"], batch["ids"], pa.array(flat, pa.string())], ["doc_id", "ids", "text"])
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import bit_search, cap_links, line_spread, piece_scan, source_mix, toxic_spans, url_rules
+from shelfcast.llm import bit_search, cap_links, line_spread, piece_scan, shingle_join, site_quality, source_mix, toxic_spans, url_rules
 
 QUERIES = {
     "op1_embedding_dedup": cap_links.query,
@@ -10,6 +10,8 @@ QUERIES = {
     "op4_toxicity": toxic_spans.query,
     "op5_line_dedup": line_spread.query,
     "op6_url_filters": url_rules.query,
+    "op7_shingle_join": shingle_join.query,
+    "op8_site_quality": site_quality.query,
     "op9_sentencepiece": piece_scan.query,
     "op10_source_mix": source_mix.query,
 }
