@@ -84,11 +84,15 @@ def _between(edges: DataFrame) -> DataFrame:
 
 
 def key_groups(
-    df: DataFrame, keys: list[str], work: Callable[[pa.Table], pa.RecordBatch | None], schema: str
+    df: DataFrame,
+    keys: list[str],
+    work: Callable[[pa.Table], pa.RecordBatch | None],
+    schema: str,
+    by_range: bool = False,
 ) -> DataFrame:
     """Apply ``work`` to the rows of every key, which the caller has bounded in number.
 
-    Rows are dealt by key and sorted; a task reads them as a stream and holds one key's
+    Rows are dealt by key, or by sampled ranges of it, and sorted; a task reads them as a stream and holds one key's
     rows at a time. Groups of a few rows cost little, unlike one Python call per group with
     its own Arrow stream. Keys are not null.
     """
@@ -119,5 +123,6 @@ def key_groups(
         if result is not None and result.num_rows:
             yield result
 
-    dealt = df.repartition(*keys).sortWithinPartitions(*keys)
+    dealt = df.repartitionByRange(*keys) if by_range else df.repartition(*keys)
+    dealt = dealt.sortWithinPartitions(*keys)
     return dealt.mapInArrow(run, schema)

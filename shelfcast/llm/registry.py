@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import bit_search, cap_links, line_spread, piece_scan, shingle_join, site_quality, source_mix, toxic_spans, url_rules
+from shelfcast.llm import bit_search, cap_links, line_spread, piece_scan, shingle_join, site_quality, source_mix, suffix_dedup, toxic_spans, url_rules
 
 QUERIES = {
     "op1_embedding_dedup": cap_links.query,
+    "op2_suffix_dedup": suffix_dedup.query,
     "op3_nearest": bit_search.query,
     "op4_toxicity": toxic_spans.query,
     "op5_line_dedup": line_spread.query,
