@@ -405,8 +405,10 @@ def _encode_giants(docs: DataFrame, rows, chunk: int) -> DataFrame:
                     ["doc_id", "chunk", "inside", "window"],
                 )
 
+    # rows may share an id: a name of id and text stands for it until the end
+    docs = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("doc_id", "text").alias("doc_id"), "text")
     kind = "doc_id long, chunk int, inside int, window string"
-    chunks = stage(docs.distinct().mapInArrow(split, kind), "chunks")
+    chunks = stage(docs.select("doc_id", "text").distinct().mapInArrow(split, kind), "chunks")
     shuffled = chunks.repartition("doc_id", "chunk")
 
     def transfer(batch):
@@ -449,8 +451,8 @@ def _encode_giants(docs: DataFrame, rows, chunk: int) -> DataFrame:
     placed = matrices.drop("matrix").join(states, ["doc_id", "chunk"])
     traced = each_batch(placed, trace, "doc_id long, chunk int, ids array<int>")
     joined = traced.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("chunk", "ids"))).alias("_parts"))
-    whole = joined.select(F.col("doc_id").alias("_id"), F.flatten("_parts.ids").alias("ids"))
-    return docs.select("doc_id").join(whole, F.col("doc_id") == F.col("_id")).select("doc_id", "ids")
+    whole = joined.select("doc_id", F.flatten("_parts.ids").alias("ids"))
+    return docs.select("doc_id", "_id").join(whole, "doc_id").select(F.col("_id").alias("doc_id"), "ids")
 
 
 def decode(encoded: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
