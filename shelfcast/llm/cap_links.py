@@ -202,7 +202,7 @@ def link(vectors: DataFrame, cosine: float = COSINE, cap: float = CAP, codes: in
     same_id = usable_rows.join(distinct, ["label", "embedding"]).select("vec_id", "rep", "copies")
     same_id = stage(same_id, "copies")
     copy_edges = same_id.where("vec_id <> rep").select(F.col("vec_id").alias("a"), F.col("rep").alias("b"))
-    roots = connected_components(edges.unionAll(copy_edges))
+    roots = connected_components(stage(edges.unionAll(copy_edges), "edges"))
     linked = same_id.join(links, "rep", "left").select(
         "vec_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )

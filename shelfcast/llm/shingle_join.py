@@ -232,12 +232,12 @@ def join(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFra
     filled = sketch.where("n_shingles > 0 AND doc_id IS NOT NULL")
     reps = stage(filled.groupBy(*named).agg(F.min("doc_id").alias("rep")), "reps")
     of_rep = filled.join(reps.select(*named, F.col("rep").alias("doc_id")), [*named, "doc_id"], "left_semi")
-    entries = of_rep.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("band")).distinct()
+    entries = of_rep.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("band"))
     crowded = entries.groupBy("band").agg(F.min("rep").alias("first"), F.count("*").alias("n")).where("n > 1")
     stars = entries.join(crowded, "band").where("rep <> first").select(
         F.col("first").alias("a"), F.col("rep").alias("b")
     ).distinct()
-    groups = connected_components(stars)
+    groups = connected_components(stage(stars, "stars"))
     sizes = groups.groupBy("root").agg(F.count("*").alias("n"))
     placed = groups.join(sizes, "root").select(
         F.col("id").alias("rep"), F.col("root").alias("group"), F.ceil(F.col("n") / block).cast("int").alias("blocks")
