@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,15 +26,29 @@ def unit_interval(*columns) -> Column:
     return (bits + 0.5) / float(1 << 53)
 
 
+# Rows of an Arrow batch that a worker turns into Python values at a time.
+ROWS_AT_ONCE = 1_000
+
+
+def give_back() -> None:
+    """Return a worker's freed memory to the system: it idles between stages, beside others."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def each_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """Apply ``work`` to every Arrow batch of ``df`` on its own."""
+    """Apply ``work`` to slices of every Arrow batch of ``df``, each on its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                made = work(batch)
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                made = work(batch.slice(at, ROWS_AT_ONCE))
                 if made is not None and made.num_rows:
                     yield made
+        give_back()
 
     return df.mapInArrow(run, schema)
 
@@ -117,6 +133,8 @@ def key_groups(
                     held = []
         if held:
             yield from made(held)
+        held = []
+        give_back()
 
     def made(parts):
         result = work(pa.Table.from_batches(parts))

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from shelfcast.llm.common import documents, each_batch, stage
+from shelfcast.llm.common import documents, each_batch, give_back, stage
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 16_384
@@ -70,7 +70,7 @@ class Pieces:
         # no piece goes on past a blank that follows something else: words are independent
         self.words_apart = not any(" " in p.lstrip(" ") for p, _ in normal)
         self._trie(normal)
-        self.index, self.ids, self.ids_at, self.filled = {}, np.zeros(0, np.int32), np.zeros(1, np.int64), 0
+        self.forget()
 
     def _trie(self, normal):
         nodes, edges, final = [{}], {}, {0: -1}
@@ -107,6 +107,10 @@ class Pieces:
         self.rare_to = np.array([rare[k] for k in sorted(rare)], np.int32)
         self.final = np.array([final[n] for n in range(len(nodes))], np.int32)
 
+    def forget(self):
+        """Drop the words solved so far."""
+        self.index, self.ids, self.ids_at = {}, np.zeros(0, np.int32), np.zeros(1, np.int64)
+
     def classes(self, codes):
         at = np.minimum(np.searchsorted(self.chars, codes), len(self.chars) - 1)
         return np.where(self.chars[at] == codes, self.char_class[at], 0)
@@ -205,7 +209,7 @@ class Pieces:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; words are solved once and remembered up to a bound."""
         if len(self.index) > WORDS_KEPT:
-            self.index, self.ids, self.ids_at = {}, np.zeros(0, np.int32), np.zeros(1, np.int64)
+            self.forget()
         cut = (r" +[^ ]*|[^ ]+" if self.words_apart else r"(?s).+")
         lists = [re.findall(cut, " " + t) if t else [] for t in texts]
         new = list(dict.fromkeys(w for words in lists for w in words if w not in self.index))
@@ -381,6 +385,8 @@ def encode(docs: DataFrame, model_path: str = MODEL_PATH, chunk: int = CHUNK) ->
                 ids = _id_lists(coder.encode(part))
                 yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(done, len(part)), ids], ["doc_id", "ids"])
                 done += len(part)
+        coder.forget()
+        give_back()
 
     long = F.length("text") > chunk
     small = docs.where(~F.coalesce(long, F.lit(False))).mapInArrow(whole, "doc_id long, ids array<int>")

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from shelfcast.llm.common import documents, key_groups, stage
+from shelfcast.llm.common import documents, give_back, key_groups, stage
 from shelfcast.llm.shingle_join import _BYTE, _powers, mixed
 
 LENGTH = 400
@@ -113,6 +113,7 @@ def anchor_rows(docs: DataFrame, length: int, lead: int) -> DataFrame:
                         ],
                         ["row", "at", "windows", "lead", "span"],
                     )
+        give_back()
 
     return docs.select("row", "text").mapInArrow(run, "row long, at long, windows long, lead long, span long")
 
