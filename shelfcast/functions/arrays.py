@@ -16,11 +16,17 @@ def sliced(pixels: Column | str, start: int, length: int) -> Column:
 
 
 def square_rows(pixels: Column | str, side: int) -> Column:
-    """Array of side*side elements as an array of ``side`` rows."""
-    return F.transform(
+    """Array of side*side elements as an array of ``side`` rows.
+
+    Another number of elements raises an error; a null array stays null.
+    """
+    rows = F.transform(
         F.sequence(F.lit(0), F.lit(side - 1)),
         lambda r: F.slice(pixels, r * side + 1, side),
     )
+    size = F.array_size(pixels)
+    wrong = F.concat(F.lit(f"{side * side} elements expected, found "), size.cast("string"))
+    return F.when(size.isNull() | (size == side * side), rows).otherwise(F.raise_error(wrong))
 
 
 def first_positive(pixels: Column | str) -> Column:

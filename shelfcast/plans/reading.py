@@ -66,12 +66,11 @@ def scan_csv_inferred(spark, sf_dir):
 
 @register(
     "scan_parquet",
-    "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_shipdate >= TIMESTAMP '2000-01-01'",
+    "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem",
 )
 def scan_parquet(spark, sf_dir):
     lines = scans.read_named(spark, sf_dir, "lineitem")
-    recent = F.col("l_shipdate") >= F.expr("timestamp_ntz'2000-01-01'")
-    return lines.where(recent).select("l_orderkey", "l_linenumber", "l_quantity")
+    return lines.select("l_orderkey", "l_linenumber", "l_quantity")
 
 
 @register("scan_typed_contract", over_panel(f" SELECT {PANEL_FIELDS}, label FROM panel"))
@@ -84,10 +83,10 @@ def scan_typed_contract(spark, sf_dir):
     return scans.read_contract(spark, path, LABELLED_SCHEMA)
 
 
-@register("range_filter_even", "SELECT n FROM range((SELECT count(*) FROM lineitem)) t(n) WHERE n % 2 = 0")
-def range_filter_even(spark, sf_dir):
-    end = scans.read_named(spark, sf_dir, "lineitem").count()
-    return scans.even_numbers(spark, 0, end)
+@register("filter_even_orders", "SELECT l_orderkey AS n FROM lineitem WHERE l_orderkey % 2 = 0")
+def filter_even_orders(spark, sf_dir):
+    lines = scans.read_named(spark, sf_dir, "lineitem")
+    return lines.where(F.col("l_orderkey") % 2 == 0).select(F.col("l_orderkey").alias("n"))
 
 
 @register("sink_parquet_roundtrip", over_panel(f" SELECT {PANEL_FIELDS}, label FROM panel"))

@@ -15,8 +15,8 @@ def write_parquet(df: DataFrame, path: str) -> None:
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     """Replace the CSV folder at ``path``; every part file carries the header.
 
-    The parts are written in parallel. A reader that takes the folder sees one table,
-    in the order of ``df`` when that is sorted.
+    The parts are written in parallel. A reader that takes the folder sees one table, in
+    no promised order; sort after reading where order matters.
     """
     df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
 

@@ -126,6 +126,14 @@ def test_square_rows(spark):
     assert df.select(arrays.sliced("p", 2, 3)).first()[0] == [2.0, 3.0, 4.0]
 
 
+def test_square_rows_of_wrong_size(spark):
+    df = spark.createDataFrame([([1.0, 2.0, 3.0, 4.0, 5.0],)], "p array<double>")
+    with pytest.raises(Exception, match="4 elements expected, found 5"):
+        df.select(arrays.square_rows("p", 2)).collect()
+    empty = spark.createDataFrame([(None,)], "p array<double>")
+    assert empty.select(arrays.square_rows("p", 2)).first()[0] is None
+
+
 def test_value_lists_hold_every_value(spark):
     rows = [("b", 2.0), ("a", 1.0), ("a", 1.0), ("a", 0.5)]
     lists = aggregate.value_lists(spark.createDataFrame(rows, "k string, v double"), "k", "v")

@@ -64,11 +64,12 @@ def test_column_helpers(spark):
     assert (names[0], names[-1], len(names)) == ("d_1", "d_1913", 1913)
 
 
-def test_csv_keeps_order_and_header(spark, tmp_path):
+def test_csv_keeps_rows_and_header(spark, tmp_path):
     path = str(tmp_path / "out")
     sinks.write_csv(spark.range(1000).orderBy(F.desc("id")), path, sep=";")
     back = scans.read_csv_inferred(spark, path, sep=";")
-    assert back.columns == ["id"] and back.count() == 1000
+    assert back.columns == ["id"]
+    assert sorted(r["id"] for r in back.collect()) == list(range(1000))
 
 
 def test_materialize_once(spark, tmp_path):
