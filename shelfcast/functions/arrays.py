@@ -26,7 +26,7 @@ def square_rows(pixels: Column | str, side: int) -> Column:
     )
     size = F.array_size(pixels)
     wrong = F.concat(F.lit(f"{side * side} elements expected, found "), size.cast("string"))
-    return F.when(size.isNull() | (size == side * side), rows).otherwise(F.raise_error(wrong))
+    return F.when(size == side * side, rows).when(size.isNotNull(), F.raise_error(wrong))
 
 
 def first_positive(pixels: Column | str) -> Column:
