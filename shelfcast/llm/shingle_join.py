@@ -248,9 +248,11 @@ def join(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFra
     placed = placed.where("blocks = 1 OR part <> other").select(
         "rep", "group", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high")
     )
-    texts = docs.join(placed.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    # merge joins at every size, so that a small table shows what a large one costs
+    wanted = placed.select(F.col("rep").alias("doc_id")).distinct().hint("merge")
+    texts = docs.join(wanted, "doc_id", "left_semi")
     texts = texts.groupBy("doc_id").agg(F.min("text").alias("text")) if _repeats(sketch) else texts
-    met = placed.join(texts, placed["rep"] == texts["doc_id"]).select("group", "low", "high", "rep", "text")
+    met = placed.join(texts.hint("merge"), placed["rep"] == texts["doc_id"]).select("group", "low", "high", "rep", "text")
     linked = key_groups(met, ["group", "low", "high"], lambda t: _linked(t, percent), "rep long, root long")
     edges = linked.where("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b"))
     roots = connected_components(stage(edges, "edges")).withColumnRenamed("id", "rep")
