@@ -23,7 +23,7 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 16_384
 BLANK = "▁"
 WORDS_KEPT = 60_000
-CHARS_AT_ONCE = 1_000_000
+CHARS_AT_ONCE = 500_000
 DENSE = 255
 
 
