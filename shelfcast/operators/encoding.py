@@ -22,53 +22,37 @@ CATEGORICALS = ["dept_id", "item_id", "store_id", "wday"]
 NUMERICS = ["flag_ram", "snap", "dn", "month", "year"]
 VECTOR_ORDER = ["vwday", "vitem_id", "vdept_id", "vstore_id", "flag_ram", "snap", "dn", "month", "year"]
 
-# Widest input of generalized linear regression.
-MAX_WIDTH = 4096
 HASH_SLOTS = 1024
 
 
-def category_counts(df: DataFrame, categoricals: Sequence[str]) -> dict[str, int]:
-    """About how many categories each column has, rounded up past the sketch's error (5 %)."""
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in categoricals]).first()
-    return {c: int(sizes[c] * 1.15) + 1 for c in categoricals}
-
-
-def fitting_columns(sizes: dict[str, int], budget: int) -> list[str]:
-    """Columns whose categories fit the budget together, fewest categories first."""
-    fitting, used = set(), 0
-    for c in sorted(sizes, key=lambda name: sizes[name]):
-        used += sizes[c]
-        if used <= budget:
-            fitting.add(c)
-    return [c for c in sizes if c in fitting]
-
-
 def encoder(
-    df: DataFrame,
     categoricals: Sequence[str] = CATEGORICALS,
     vector_order: Sequence[str] = VECTOR_ORDER,
-    max_width: int = MAX_WIDTH,
+    hashed: Sequence[str] = (),
     hash_slots: int = HASH_SLOTS,
+    base_slot: bool = False,
     handle_invalid: str = "error",
 ) -> Pipeline:
     """Unfitted encoder chain ending in ``features``.
 
-    Category numbers and one-hot blocks without their last category; a column with too
-    many categories for ``max_width`` is hashed into ``hash_slots`` slots instead. The
-    labels of an indexed column are held by the driver and every task; the width bounds
-    their number.
+    Category numbers and one-hot blocks without their last category, but for the columns
+    named in ``hashed``: those become ``hash_slots`` slots each. The data never decide
+    which form a column gets, so a slot means the same at every size. The labels of an
+    indexed column are held by the driver and every task; columns without a bound on their
+    categories belong in ``hashed`` or are encoded by ``one_hot_by_join``.
+
+    ``base_slot`` leaves out the last hash slot, whose categories then are the base that
+    an intercept stands for. Linear models without a penalty need it, as the slots of a
+    column always sum to the intercept; for trees it would hide those categories.
     """
-    budget = max_width - (len(vector_order) - len(categoricals))
-    sizes = category_counts(df, categoricals)
-    indexed = fitting_columns(sizes, budget)
-    if len(indexed) < len(categoricals):
-        hashed = len(categoricals) - len(indexed)
-        indexed = fitting_columns({c: sizes[c] for c in indexed}, budget - hashed * hash_slots)
+    if not set(hashed) <= set(categoricals):
+        raise ValueError("hashed columns must be categorical ones")
+    indexed = [c for c in categoricals if c not in set(hashed)]
     stages = []
     if indexed:
         stages += [
             StringIndexer(
-                inputCols=list(indexed),
+                inputCols=indexed,
                 outputCols=[f"i{c}" for c in indexed],
                 handleInvalid=handle_invalid,
             ),
@@ -76,14 +60,11 @@ def encoder(
                 inputCols=[f"i{c}" for c in indexed], outputCols=[f"v{c}" for c in indexed]
             ),
         ]
-    for c in categoricals:
-        if c not in indexed:
-            stages += [
-                FeatureHasher(inputCols=[c], outputCol=f"h{c}", categoricalCols=[c], numFeatures=hash_slots),
-                # Like the last category, the last slot is left out: with all of them the
-                # block would always sum to the intercept.
-                VectorSlicer(inputCol=f"h{c}", outputCol=f"v{c}", indices=list(range(hash_slots - 1))),
-            ]
+    for c in hashed:
+        slots = f"h{c}" if base_slot else f"v{c}"
+        stages.append(FeatureHasher(inputCols=[c], outputCol=slots, categoricalCols=[c], numFeatures=hash_slots))
+        if base_slot:
+            stages.append(VectorSlicer(inputCol=slots, outputCol=f"v{c}", indices=list(range(hash_slots - 1))))
     stages.append(VectorAssembler(inputCols=list(vector_order), outputCol="features"))
     return Pipeline(stages=stages)
 
@@ -100,14 +81,25 @@ def prepared_panel(panel: DataFrame, **options) -> tuple[PipelineModel, DataFram
 
     Fitting on both kinds leaves no unseen category for the prediction.
     """
-    model = encoder(panel, **options).fit(panel)
+    model = encoder(**options).fit(panel)
     return model, encoded(model, panel)
 
 
+def prepared_panel_by_join(panel: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The panel with exact ``features``, numbered by join: same vectors as
+    ``prepared_panel`` without hashed columns, and no labels on the driver."""
+    hot = one_hot_by_join(panel, keys)
+    assembled = VectorAssembler(inputCols=VECTOR_ORDER, outputCol="features").transform(hot)
+    return assembled.select(*panel.columns, "features")
+
+
 def one_hot_by_join(
     df: DataFrame, keys: Sequence[str], categoricals: Sequence[str] = CATEGORICALS
 ) -> DataFrame:
-    """One-hot blocks ``v<column>`` without a limit on the number of categories."""
+    """One-hot blocks ``v<column>`` without a limit on the number of categories.
+
+    The numbered columns carry their sizes as metadata, so fitting reads no rows.
+    """
     index = stage(category_index(df, categoricals), "category-index")
     numbered = with_category_numbers(df, index, categoricals, keys)
     blocks = OneHotEncoder(
@@ -143,7 +135,8 @@ def dummy_columns(df: DataFrame, columns: Sequence[str], max_categories: int = 1
     """Replace each column by one 0/1 column per category, named ``column_category``.
 
     A null is 0 in all of them. Column names come from the data, so the categories are
-    fetched; more than ``max_categories`` per column is an error, as it is no table shape.
+    fetched; more than ``max_categories`` per column is an error, as it is no table shape;
+    ``one_hot_by_join`` is the form without a limit.
     """
     categories: dict[str, list[str]] = {}
     for c in columns:

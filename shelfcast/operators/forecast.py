@@ -65,14 +65,18 @@ def forecast_table(predictions: DataFrame, horizons: Sequence[Horizon], fill: in
 
     Same rows as the union of ``horizon_matrix`` over the horizons, but the
     predictions are computed and shuffled once: the horizon is part of the group.
-    ``fill`` replaces null cells.
+    ``fill`` replaces null cells. A day after the last horizon has no column: such a row
+    raises an error. Days before the first horizon are history and are left out.
     """
+    last_day = max(h.cut for h in horizons) + DAYS
     block, suffix, cut = (F.lit(None).cast(t) for t in ("int", "string", "int"))
     for number, horizon in enumerate(horizons):
         of_horizon = (F.col("dn") > horizon.cut) & (F.col("dn") <= horizon.cut + DAYS)
         block = F.when(of_horizon, F.lit(number)).otherwise(block)
         suffix = F.when(of_horizon, F.lit(horizon.suffix)).otherwise(suffix)
         cut = F.when(of_horizon, F.lit(horizon.cut)).otherwise(cut)
+    outside = F.raise_error(F.concat(F.lit("no horizon holds day "), F.col("dn").cast("string")))
+    block = F.when(F.col("dn") > last_day, outside.cast("int")).otherwise(block)
     placed = (
         whole_units(predictions)
         .withColumns({"block": block, "suffix": suffix, "offset": F.col("dn") - cut})

@@ -58,16 +58,19 @@ def category_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         .agg(F.count("*").alias("n"))
     )
     placed = with_position(counts, ["column_name", F.desc("n"), "value"])
-    first = placed.groupBy("column_name").agg(F.min("position").alias("_first"))
-    return placed.join(first, "column_name").select(
-        "column_name", "value", "n", (F.col("position") - F.col("_first")).alias("idx")
-    )
+    # One row per column: a join on the column's name would send almost all rows to one task.
+    starts = placed.groupBy("column_name").agg(F.min("position").alias("first")).collect()
+    first = F.lit(0)
+    for row in starts:
+        first = F.when(F.col("column_name") == row["column_name"], F.lit(row["first"])).otherwise(first)
+    return placed.select("column_name", "value", "n", (F.col("position") - first).alias("idx"))
 
 
 def with_category_numbers(
     df: DataFrame, index: DataFrame, columns: Sequence[str], spread_by: Sequence[str]
 ) -> DataFrame:
-    """Add ``i<column>``, the category number, for each column.
+    """Add ``i<column>``, the category number, for each column, with the number of
+    categories as metadata.
 
     Numbers come by join, so no list of categories passes through the driver and a
     frequent category is spread over tasks once the index is too large to broadcast.
@@ -75,8 +78,10 @@ def with_category_numbers(
     per_column = index.groupBy("column_name").agg(F.count("*").alias("n_values")).collect()
     sizes = {row["column_name"]: row["n_values"] for row in per_column}
     for c in columns:
+        known = {"ml_attr": {"type": "nominal", "name": f"i{c}", "num_vals": sizes.get(c, 0)}}
         numbers = index.where(F.col("column_name") == c).select(
-            F.col("value").alias("_value"), F.col("idx").cast("double").alias(f"i{c}")
+            F.col("value").alias("_value"),
+            F.col("idx").cast("double").alias(f"i{c}", metadata=known if c in sizes else None),
         )
         keyed = df.withColumn("_value", F.col(c).cast("string"))
         df = spread_join(

@@ -14,9 +14,6 @@ from shelfcast.scratch import fresh_path
 from shelfcast.sources.panel import rated_documents
 from shelfcast.sources.sinks import write_parquet
 
-# Labels a fitted encoder may hold when no model limits the width of its input.
-ENCODER_LABELS = 1_000_000
-
 _PAIRS_SQL = " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM panel" for c in CATEGORICALS
 )
@@ -107,7 +104,7 @@ def assemble_features(spark, sf_dir):
     ),
 )
 def prepare_panel(spark, sf_dir):
-    _, prepared = encoding.prepared_panel(stored_panel(spark, sf_dir), max_width=ENCODER_LABELS)
+    prepared = encoding.prepared_panel_by_join(stored_panel(spark, sf_dir), PANEL_KEY)
     path = fresh_path(spark, "prepared")
     write_parquet(prepared, path)
     raw = F.unwrap_udt("features")
@@ -126,7 +123,7 @@ def prepare_panel(spark, sf_dir):
     ),
 )
 def vector_width(spark, sf_dir):
-    _, prepared = encoding.prepared_panel(stored_panel(spark, sf_dir), max_width=ENCODER_LABELS)
+    prepared = encoding.prepared_panel_by_join(stored_panel(spark, sf_dir), PANEL_KEY)
     return encoding.vector_width(prepared)
 
 

@@ -26,7 +26,7 @@ def filter_known(spark, sf_dir):
 
 @register("filter_unknown", over_panel(f" SELECT {PANEL_FIELDS}, label FROM panel WHERE label IS NULL"))
 def filter_unknown(spark, sf_dir):
-    return rows_to_predict(spark, sf_dir)
+    return labelled_panel(spark, sf_dir).where(F.col("label").isNull())
 
 
 @register(
@@ -37,8 +37,9 @@ def filter_unknown(spark, sf_dir):
     ),
 )
 def filter_key(spark, sf_dir):
-    rows = sales_panel(spark, sf_dir).withColumn("key", joined_id(["dept_id", "store_id"]))
-    return rows.where(F.col("key") == F.lit("PROMO_NATION_3")).select("item_id", "store_id", "dn", "sales")
+    # The key as its two parts: each reaches the scan of its table.
+    rows = sales_panel(spark, sf_dir, dept_id="PROMO", store_id="NATION_3")
+    return rows.select("item_id", "store_id", "dn", "sales")
 
 
 @register(

@@ -65,9 +65,8 @@ def submission_matrix(spark, sf_dir):
 @register("union_horizons", over_panel(" " + _both_sql("Sales_Pred", "panel")))
 def union_horizons(spark, sf_dir):
     predictions = delivered_predictions(spark, sf_dir)
-    return forecast.union_tables(
-        [forecast.horizon_matrix(predictions, h).orderBy("id") for h in (VALIDATION, EVALUATION)]
-    )
+    tables = [forecast.horizon_matrix(predictions, h) for h in (VALIDATION, EVALUATION)]
+    return forecast.union_tables(tables).orderBy(F.col("id").endswith(f"_{EVALUATION.suffix}"), "id")
 
 
 @register(

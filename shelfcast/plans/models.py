@@ -49,10 +49,10 @@ def _glr(family: str, link: str) -> GeneralizedLinearRegression:
     return GeneralizedLinearRegression(family=family, link=link)
 
 
-def _register_regression(name: str, new_estimator) -> None:
+def _register_regression(name: str, new_estimator, linear: bool = True) -> None:
     @register(name)
     def query(spark, sf_dir):
-        panel = stored_prepared_panel(spark, sf_dir)
+        panel = stored_prepared_panel(spark, sf_dir, base_slot=linear)
         train = panel.where(F.col("label").isNotNull()).select("features", "label")
         predicted = predicted_unknown(training.fit_persisted(new_estimator(), train), panel)
         return predicted.select("item_id", "store_id", "dn", "prediction")
@@ -61,7 +61,7 @@ def _register_regression(name: str, new_estimator) -> None:
 _register_regression("glr_gaussian", lambda: _glr("gaussian", "identity"))
 _register_regression("glr_poisson_identity", lambda: _glr("poisson", "identity"))
 _register_regression("glr_poisson_log", lambda: _glr("poisson", "log"))
-_register_regression("gbt_regression", lambda: GBTRegressor(maxIter=10, seed=SPLIT_SEED))
+_register_regression("gbt_regression", lambda: GBTRegressor(maxIter=10, seed=SPLIT_SEED), linear=False)
 
 
 def _register_by_store(name: str, family: str, link: str) -> None:
@@ -163,7 +163,7 @@ def per_department_least_squares(spark, sf_dir):
 
 
 def _train_and_test(spark, sf_dir):
-    panel = stored_prepared_panel(spark, sf_dir).where(F.col("label").isNotNull())
+    panel = stored_prepared_panel(spark, sf_dir, base_slot=True).where(F.col("label").isNotNull())
     return train_and_test(panel, PANEL_KEY)
 
 
@@ -183,9 +183,66 @@ def tuned_training(spark, sf_dir):
     return training.leaderboard(spark, results)
 
 
+# With one 0/1 input every family, link and tree predicts the mean of its side, so the
+# errors on the held-out rows are known.
+_FLAG_SCORES = f""", side AS (
+  SELECT snap, avg(label) AS mean FROM panel WHERE label IS NOT NULL AND NOT ({HELD_OUT_SQL}) GROUP BY snap
+),
+score AS (
+  SELECT round(sqrt(avg(pow(label - mean, 2))), 4) AS rmse FROM panel JOIN side USING (snap)
+  WHERE label IS NOT NULL AND {HELD_OUT_SQL}
+)"""
+
+
+def _flag_scores(spark, sf_dir, candidates, searched=False):
+    known = clean.known(stored_panel(spark, sf_dir)).select(*PANEL_KEY, "snap", "label")
+    flagged = VectorAssembler(inputCols=["snap"], outputCol="features").transform(known)
+    store = ModelStore(spark, fresh_path(spark, "models"))
+    train, test = train_and_test(flagged, PANEL_KEY)
+    results = training.train_all(candidates, train, test, store, searched=searched)
+    return training.leaderboard(spark, results).select("model_id", F.round("rmse", 4).alias("rmse"), "state")
+
+
+@register(
+    "leaderboard_by_flag",
+    over_panel(
+        f"""{_FLAG_SCORES} SELECT model_id, rmse, 'OK' AS state
+        FROM score, (VALUES ('glrgi'), ('glrpi'), ('glrpl'), ('gbtr')) ids (model_id)"""
+    ),
+)
+def leaderboard_by_flag(spark, sf_dir):
+    return _flag_scores(spark, sf_dir, training.standard_candidates())
+
+
+@register(
+    "tuned_trees_by_flag",
+    over_panel(f"{_FLAG_SCORES} SELECT 'gbtr' AS model_id, rmse, 'OK' AS state FROM score"),
+)
+def tuned_trees_by_flag(spark, sf_dir):
+    """Every point of the tree grid finds the two means."""
+    trees = [c for c in training.standard_candidates() if c.model_id == "gbtr"]
+    return _flag_scores(spark, sf_dir, trees, searched=True)
+
+
+@register(
+    "gbt_by_flag",
+    over_panel(
+        """ SELECT snap, round(avg(label), 4) AS prediction, count(*) AS n_train
+        FROM panel WHERE label IS NOT NULL GROUP BY snap"""
+    ),
+)
+def gbt_by_flag(spark, sf_dir):
+    known = clean.known(stored_panel(spark, sf_dir)).select("snap", "label")
+    flagged = VectorAssembler(inputCols=["snap"], outputCol="features").transform(known)
+    model = training.fit_persisted(GBTRegressor(maxIter=10, seed=SPLIT_SEED), flagged)
+    return model.transform(flagged).groupBy("snap").agg(
+        F.round(F.avg("prediction"), 4).alias("prediction"), F.count("*").alias("n_train")
+    )
+
+
 @register("gbt_holdout_rmse")
 def gbt_holdout_rmse(spark, sf_dir):
-    panel = clean.known(stored_prepared_panel(spark, sf_dir)).select("features", "label")
+    panel = clean.known(stored_prepared_panel(spark, sf_dir, base_slot=False)).select("features", "label")
     parted = with_random_part(panel, 0.7)
     chain = Pipeline(stages=[GBTRegressor(maxIter=10, seed=SPLIT_SEED)])
     model = training.fit_persisted(chain, parted.where(F.col("part") == "train"))
@@ -196,7 +253,7 @@ def gbt_holdout_rmse(spark, sf_dir):
 def _rated_features(spark, sf_dir):
     """Documents with features for the rating; fitted on rated and unrated ones."""
     rated = rated_documents(spark, sf_dir).withColumn("label", F.col("quality").cast("double"))
-    chain = encoding.encoder(rated, ["lang", "source"], ["vlang", "vsource", "n_chars"])
+    chain = encoding.encoder(["lang", "source"], ["vlang", "vsource", "n_chars"])
     return encoding.encoded(chain.fit(rated), rated)
 
 

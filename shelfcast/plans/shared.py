@@ -10,8 +10,8 @@ from shelfcast.scratch import shared_root
 from shelfcast.sources.panel import known_rows, labelled_panel
 from shelfcast.sources.sinks import materialize_once
 
-# Width of the registered models' input, and the slots of a hashed column in it.
-MODEL_WIDTH = 512
+# Columns the registered models hash, and the slots of each.
+MODEL_HASHED = ["item_id"]
 MODEL_HASH_SLOTS = 256
 
 
@@ -37,16 +37,18 @@ def stored_panel(spark, sf_dir):
     )
 
 
-def stored_prepared_panel(spark, sf_dir):
+def stored_prepared_panel(spark, sf_dir, base_slot):
     """Encoded panel that the models train on and predict from.
 
-    Items are hashed beyond a fixed width, so the models keep their size however many
-    items the tables hold.
+    Items are hashed, so the models keep their size however many items the tables hold.
+    ``base_slot`` is for linear models, see ``encoder``.
     """
-    path = f"{shared_root(spark)}/prepared-{data_tag(sf_dir)}"
+    path = f"{shared_root(spark)}/prepared-{int(base_slot)}-{data_tag(sf_dir)}"
 
     def build():
         panel = stored_panel(spark, sf_dir)
-        return prepared_panel(panel, max_width=MODEL_WIDTH, hash_slots=MODEL_HASH_SLOTS)[1]
+        return prepared_panel(
+            panel, hashed=MODEL_HASHED, hash_slots=MODEL_HASH_SLOTS, base_slot=base_slot
+        )[1]
 
     return materialize_once(spark, path, build)

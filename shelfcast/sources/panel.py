@@ -24,8 +24,11 @@ def sales_panel(
     sf_dir: str,
     first_day: int | None = None,
     last_day: int | None = None,
+    dept_id: str | None = None,
+    store_id: str | None = None,
 ) -> DataFrame:
-    """Panel rows of the days first_day..last_day (both ends included).
+    """Panel rows of the days first_day..last_day (both ends included), of one department
+    and one store if they are given; then other line items go before they are summed.
 
     A day range becomes a plain comparison on the ship date, which parquet can skip
     row groups by; the same test on ``dn`` after the aggregation could not be pushed.
@@ -43,6 +46,12 @@ def sales_panel(
     items = read_named(spark, sf_dir, "part").select(
         "p_partkey", F.col("p_type").alias("dept_id")
     )
+    if store_id is not None:
+        names = names.where(F.col("store_id") == store_id)
+        stores = stores.join(names, F.col("s_nationkey") == F.col("n_nationkey"), "left_semi")
+    if dept_id is not None:
+        items = items.where(F.col("dept_id") == dept_id)
+        lines = lines.join(items, F.col("l_partkey") == F.col("p_partkey"), "left_semi")
     daily = (
         lines.join(stores, F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy("l_partkey", "s_nationkey", F.to_date("l_shipdate").alias("day"))

@@ -10,36 +10,35 @@ from shelfcast.operators import aggregate, clean, forecast
 
 PREDICTION_SCHEMA = "dn int, item_id string, store_id string, prediction double"
 
-# Forecast per product and market on days 1 to 4; None where no row exists.
-FORECAST = {
-    ("HOBBIES_1_001", "CA_1"): (2.2, 2.0, 2.0, 2.0),
-    ("HOBBIES_1_001", "CA_2"): (0.0, 0.0, 0.0, 0.5),
-    ("HOBBIES_1_001", "TX_1"): (2.0, 2.0, 2.0, 2.1),
-    ("HOBBIES_1_001", "TX_2"): (None, 1.0, None, 1.1),
-    ("HOBBIES_1_002", "CA_1"): (2.0, 0.0, 2.2, 0.1),
-    ("HOBBIES_1_002", "CA_2"): (0.0, 0.0, 0.3, 0.2),
-    ("HOBBIES_1_002", "TX_1"): (2.0, 2.0, 2.4, 2.2),
+# Several rows per cell, a cell of nulls only, cells without rows.
+FORECAST_ROWS = [
+    (1, "A", "north", 1.5), (1, "A", "north", 2.0), (1, "A", "north", None), (3, "A", "north", 4.0),
+    (2, "A", "south", None), (2, "A", "south", None), (4, "A", "south", 0.25),
+    (1, "B", "north", -1.0), (1, "B", "north", 1.0), (4, "B", "north", 7.0), (4, "B", "north", 0.5),
+]
+FORECAST_TABLE = {
+    ("A", "north"): (3.5, None, 4.0, None),
+    ("A", "south"): (None, None, None, 0.25),
+    ("B", "north"): (0.0, None, None, 7.5),
 }
 
 
-def forecast_rows():
-    return [
-        (day, item, store, value)
-        for (item, store), values in FORECAST.items()
-        for day, value in enumerate(values, start=1)
-        if value is not None
-    ]
-
-
 def test_day_matrix_of_two_keys(spark):
-    rows = spark.createDataFrame(forecast_rows(), PREDICTION_SCHEMA)
+    rows = spark.createDataFrame(FORECAST_ROWS, PREDICTION_SCHEMA)
     wide = forecast.day_matrix(rows, ["item_id", "store_id"], "dn", "prediction", range(1, 5))
     assert wide.columns == ["item_id", "store_id", "F1", "F2", "F3", "F4"]
-    assert {(r[0], r[1]): tuple(r)[2:] for r in wide.collect()} == FORECAST
+    assert {(r[0], r[1]): tuple(r)[2:] for r in wide.collect()} == FORECAST_TABLE
+
+
+def test_days_after_the_last_horizon_raise(spark):
+    horizons = [forecast.Horizon("validation", 0), forecast.Horizon("evaluation", 28)]
+    late = spark.createDataFrame([(3, "A", "north", 1.0), (57, "A", "north", 1.0)], PREDICTION_SCHEMA)
+    with pytest.raises(Exception, match="no horizon holds day 57"):
+        forecast.forecast_table(late, horizons).collect()
 
 
 def test_day_matrix_equals_pivot(spark):
-    rows = spark.createDataFrame(forecast_rows() * 3, PREDICTION_SCHEMA)
+    rows = spark.createDataFrame(FORECAST_ROWS * 3, PREDICTION_SCHEMA)
     keys = ["item_id", "store_id"]
     wide = forecast.day_matrix(rows, keys, "dn", "prediction", [1, 2, 3, 4])
     pivoted = fn.prefixed(rows.groupBy(*keys).pivot("dn").sum("prediction"), "F", keys)
@@ -47,7 +46,7 @@ def test_day_matrix_equals_pivot(spark):
 
 
 def test_forecast_table_equals_union_of_horizons(spark):
-    rows = [(d, f"I{d % 3}", "S", d / 3 - 5) for d in range(1, 61)] + [(5, None, "S", 1.0)]
+    rows = [(d, f"I{d % 3}", "S", d / 3 - 5) for d in range(1, 57)] + [(5, None, "S", 1.0)]
     predictions = spark.createDataFrame(rows, PREDICTION_SCHEMA)
     horizons = [forecast.Horizon("validation", 0), forecast.Horizon("evaluation", 28)]
     together = forecast.forecast_table(predictions, horizons)

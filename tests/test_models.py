@@ -44,7 +44,7 @@ FEATURES = {
 
 def test_encoding(spark):
     df = spark.createDataFrame(ROWS, COLUMNS)
-    chain = encoding.encoder(df, ["avar", "xvar"], ["vavar", "vxvar", "i"])
+    chain = encoding.encoder(["avar", "xvar"], ["vavar", "vxvar", "i"])
     done = encoding.encoded(chain.fit(df), df)
     assert done.columns == COLUMNS + ["features"]
     assert {r["i"]: list(r["features"].toArray()) for r in done.collect()} == FEATURES
@@ -61,13 +61,33 @@ def test_encoding_by_join(spark):
     assert {r["i"]: list(r["features"].toArray()) for r in joined.collect()} == FEATURES
 
 
-def test_wide_columns_are_hashed(spark):
-    df = spark.range(3000).select(
-        padded_number("id", 6).alias("item"), (F.col("id") % 4).cast("string").alias("dept"), "id"
-    )
-    chain = encoding.encoder(df, ["item", "dept"], ["vitem", "vdept", "id"], max_width=100, hash_slots=64)
-    done = encoding.encoded(chain.fit(df), df)
-    assert encoding.vector_width(done).first()["width"] == 63 + 3 + 1
+@pytest.mark.parametrize("base_slot, slots", [(False, 64), (True, 63)])
+def test_hashed_columns_mean_the_same_at_every_size(spark, base_slot, slots):
+    def of(n):
+        df = spark.range(n).select(
+            padded_number("id", 6).alias("item"), (F.col("id") % 4).cast("string").alias("dept"), "id"
+        )
+        chain = encoding.encoder(
+            ["item", "dept"], ["vitem", "vdept", "id"], hashed=["item"], hash_slots=64, base_slot=base_slot
+        )
+        model = chain.fit(df)
+        done = encoding.encoded(model, df)
+        assert encoding.vector_width(done).collect() == [(slots + 3 + 1, n)]
+        names = [type(step).__name__ for step in model.stages]
+        places = {r["id"]: r["slot"] for r in encoding.active_slots(done.where("id < 200"), ["id"]).where(f"slot < {slots}").collect()}
+        return names, places
+
+    assert of(200) == of(2000)
+
+
+def test_prepared_panel_by_join_equals_the_fitted_chain(spark):
+    rows = [(f"d{k % 3}", f"i{k % 7}", f"s{k % 2}", k % 5, k, 0, 1, 6, 2000) for k in range(60)]
+    names = ["dept_id", "item_id", "store_id", "wday", "dn", "flag_ram", "snap", "month", "year"]
+    df = spark.createDataFrame(rows, names)
+    fitted = encoding.prepared_panel(df)[1]
+    joined = encoding.prepared_panel_by_join(df, ["dn"])
+    assert joined.columns == fitted.columns
+    assert sorted(map(str, joined.collect())) == sorted(map(str, fitted.collect()))
 
 
 def test_dummy_columns(spark):
