@@ -21,7 +21,7 @@ from shelfcast.session import local_session  # noqa: E402
 SHARED = {
     "build_panel": stored_panel,
     "build_top_cells": stored_top_cells,
-    "build_prepared_panel": stored_prepared_panel,
+    "build_prepared_panel": lambda spark, sf_dir: stored_prepared_panel(spark, sf_dir, base_slot=True),
 }
 
 HEADLINE = [
