@@ -130,7 +130,7 @@ class Pieces:
         """(start, length, id) of every piece in ``codes`` that starts at a character and
         ends by its ``limit``; characters without a piece of their own have id -1."""
         cls = self.classes(codes)
-        start = np.nonzero(limit > np.arange(len(codes)))[0]
+        start = np.nonzero(limit > np.arange(len(codes)))[0].astype(np.int32)
         node = np.zeros(len(start), np.int32)
         single = np.zeros(len(codes), bool)
         parts = []
@@ -142,13 +142,13 @@ class Pieces:
                 break
             ids = self.final[node]
             full = ids >= 0
-            parts.append((start[full], np.full(full.sum(), n), ids[full]))
+            parts.append((start[full], np.full(full.sum(), n, np.int32), ids[full]))
             if n == 1:
                 single[start[full]] = True
             more = limit[start] > start + n
             start, node = start[more], node[more]
-        lone = np.nonzero(~single & (limit > np.arange(len(codes))))[0]
-        parts.append((lone, np.ones(len(lone), np.int64), np.full(len(lone), -1)))
+        lone = np.nonzero(~single & (limit > np.arange(len(codes))))[0].astype(np.int32)
+        parts.append((lone, np.ones(len(lone), np.int32), np.full(len(lone), -1, np.int32)))
         return tuple(np.concatenate(x) for x in zip(*parts))
 
     def edge_scores(self, ids):
@@ -161,17 +161,21 @@ class Pieces:
         ends = np.cumsum(lengths)
         begins = ends - lengths
         start, length, ids = self.edges(codes, np.repeat(ends, lengths))
-        word = np.repeat(np.arange(len(words)), lengths)[start]
-        depth = start - begins[word]
-        order = np.lexsort((length, depth))
-        start, length, ids, word, depth = (x[order] for x in (start, length, ids, word, depth))
+        word = np.repeat(np.arange(len(words), dtype=np.int32), lengths)[start]
+        # edges by depth in their word, then by length, as one number, short where it fits
+        step = (start - begins[word]) * (self.longest + 1) + length
+        if step.max() < 1 << 16:
+            step = step.astype(np.uint16)
+        order = np.argsort(step, kind="stable")
+        start, length, ids, word, step = (x[order] for x in (start, length, ids, word, step))
         score = self.edge_scores(ids)
         # a word of n characters has n + 1 places
         source = start + word
+        del word, order
         best = np.full(len(codes) + len(words), -np.inf)
-        back = np.full(len(best), -1, np.int64)
+        back = np.full(len(best), -1, np.int32)
         best[begins + np.arange(len(words))] = 0.0
-        group = np.nonzero((np.diff(depth) != 0) | (np.diff(length) != 0))[0] + 1
+        group = np.nonzero(step[1:] != step[:-1])[0] + 1
         for a, b in zip(np.concatenate([[0], group]), np.concatenate([group, [len(start)]])):
             target = source[a:b] + length[a]
             total = best[source[a:b]] + score[a:b]
