@@ -4,7 +4,8 @@ A filter is a direction; a vector passes those it is close enough to. The direct
 the combinations of two random codes, one for each half of the rotated vector, so a vector
 finds all the filters it passes by decoding: best codes of one half first, each with as
 many codes of the other half as still reach the cap. Vectors that share a filter are
-compared exactly.
+compared exactly. The cap follows the vectors' length, so that a pair at the threshold
+shares as many filters at any length; very short vectors have one filter for all.
 """
 
 from __future__ import annotations
@@ -19,15 +20,54 @@ from shelfcast.llm.common import connected_components, each_batch, key_groups, s
 from shelfcast.llm.vectors import distinct_vectors, matrix, rotation, unit, usable
 
 COSINE = 0.93
-# Six times 1024 * 1024 directions. At 64 dimensions a vector passes about 10 of each set,
-# and a pair at cosine 0.93 shares none with a chance below 1 %, falling fast above it.
+# Six times 1024 * 1024 directions. At 64 dimensions and a cap of 0.50 a vector passes about
+# 70 of them, and a pair at cosine 0.93 is expected to share 25. Other lengths get the cap
+# with which it shares as many.
 CODES = 1024
 TURNS = 6
-CAP = 0.50
+SHARED = 25.2
+# A length at which vectors would have to pass more filters than this has no cap: all of its
+# vectors with one label are compared.
+MOST_PASSED = 150
 # Vectors of one filter that are compared with as many others at a time.
 BLOCK = 2048
 
 
+def _above(size: int):
+    """Chance that a coordinate of a random unit vector is above a cap."""
+    reach = min(np.pi / 2, 12 / np.sqrt(size))
+    angle = np.linspace(np.pi / 2 - reach, np.pi / 2 + reach, 20_001)
+    weight = np.sin(angle) ** (size - 2)
+    total = np.concatenate([[0], np.cumsum(weight[1:] + weight[:-1])])
+    return lambda cap: np.interp(np.arccos(np.clip(cap, -1, 1)), angle, total / total[-1])
+
+
+def expected(size: int, cap: float, cosine: float, codes: int = CODES, turns: int = TURNS) -> tuple[float, float]:
+    """Mean number of filters that a vector of length ``size`` passes, and that two vectors
+    at ``cosine`` share. Any direction is a random one to a vector, so means are exact."""
+    passing = turns * codes * codes * float(_above(size)(cap))
+    steps = 4_000
+    angle = np.arccos(cap) * (np.arange(steps) + 0.5) / steps
+    weight = np.sin(angle) ** (size - 2)
+    weight = weight / weight.max()
+    rest = (cap - cosine * np.cos(angle)) / (np.sqrt(1 - cosine * cosine) * np.sin(angle))
+    return passing, passing * float((weight * _above(size - 1)(rest)).sum() / weight.sum())
+
+
+@lru_cache(maxsize=64)
+def cap_of(size: int, cosine: float = COSINE, codes: int = CODES, turns: int = TURNS) -> float | None:
+    """The cap with which vectors at ``cosine`` share ``SHARED`` filters, or None where they
+    would pass too many."""
+    if size < 4 or not 0 < cosine < 1:
+        return None
+    low, high = 0.0, 1.0 - 1e-9
+    for _ in range(50):
+        cap = (low + high) / 2
+        low, high = (cap, high) if expected(size, cap, cosine, codes, turns)[1] > SHARED else (low, cap)
+    passing, shared = expected(size, low, cosine, codes, turns)
+    return low if passing <= MOST_PASSED and shared >= 0.99 * SHARED else None
+
+
 @lru_cache(maxsize=4)
 def codebook(size: int, codes: int, seed: int):
     """Rotation, and the codes of both halves, scaled so that their pairs have length 1."""
@@ -40,12 +80,19 @@ def codebook(size: int, codes: int, seed: int):
     return rotation(size, seed), sides[0], sides[1]
 
 
-def passed(vectors: np.ndarray, cap: float = CAP, codes: int = CODES, turns: int = TURNS) -> list[np.ndarray]:
+def passed(
+    vectors: np.ndarray, cap: float | None = None, codes: int = CODES, turns: int = TURNS, cosine: float = COSINE
+) -> list[np.ndarray]:
     """Numbers of the filters that each unit vector passes, in rising order.
 
+    Without ``cap``, that of the vectors' length; at lengths without one all pass filter 0.
     Every turn is a set of directions of its own: a vector whose halves are uneven under
     one rotation passes few of its filters, but hardly so under all.
     """
+    if cap is None:
+        cap = cap_of(vectors.shape[1], cosine, codes, turns)
+    if cap is None:
+        return [np.zeros(1, np.int32)] * len(vectors)
     sets = [_passed(vectors, cap, codes, 7 * (t + 1)) for t in range(turns)]
     return [
         np.concatenate([f + t * codes * codes for t, f in enumerate(one)]).astype(np.int32)
@@ -72,7 +119,9 @@ def _passed(vectors, cap, codes, seed):
     return out
 
 
-def filter_rows(vectors: DataFrame, cap: float = CAP, codes: int = CODES) -> DataFrame:
+def filter_rows(
+    vectors: DataFrame, cap: float | None = None, codes: int = CODES, cosine: float = COSINE
+) -> DataFrame:
     """``rep``, ``label``, ``copies``, ``size``, ``embedding`` and ``filters`` of vectors."""
 
     vector_type = vectors.schema["embedding"].dataType
@@ -84,7 +133,7 @@ def filter_rows(vectors: DataFrame, cap: float = CAP, codes: int = CODES) -> Dat
         for size in np.unique(sizes):
             at = np.nonzero(sizes == size)[0]
             rows = unit(matrix(batch["embedding"].take(pa.array(at))))
-            for k, f in zip(at, passed(rows, cap, codes)):
+            for k, f in zip(at, passed(rows, cap, codes, cosine=cosine)):
                 filters[k] = f
         return pa.RecordBatch.from_arrays(
             [
@@ -162,7 +211,9 @@ def compare(block: pa.Table, cosine: float) -> pa.RecordBatch | None:
     )
 
 
-def link(vectors: DataFrame, cosine: float = COSINE, cap: float = CAP, codes: int = CODES, block: int = BLOCK) -> DataFrame:
+def link(
+    vectors: DataFrame, cosine: float = COSINE, cap: float | None = None, codes: int = CODES, block: int = BLOCK
+) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id`` and ``kept`` of every row of ``vectors``.
 
     Two vectors link when their labels are equal and not null, their lengths are equal and
@@ -172,6 +223,9 @@ def link(vectors: DataFrame, cosine: float = COSINE, cap: float = CAP, codes: in
     id count as rows: they link with each other, and share the id's component. A null id
     stays in the result with null component. Other columns are not read.
 
+    Vectors may have any length: the cap follows it, and vectors too short for one (up to
+    11 components at the default threshold) are all compared within their label.
+
     The rows under one filter are cut into blocks of ``block``, and pairs of blocks are
     the tasks' groups; no pair is written out, only sums and one edge per row and group.
     """
@@ -179,7 +233,7 @@ def link(vectors: DataFrame, cosine: float = COSINE, cap: float = CAP, codes: in
     good = usable("embedding") & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     usable_rows = stage(vectors.where(good), "vectors")
     distinct = stage(distinct_vectors(usable_rows, "label"), "distinct")
-    rows = stage(filter_rows(distinct.repartition("rep"), cap, codes), "filters")
+    rows = stage(filter_rows(distinct.repartition("rep"), cap, codes, cosine), "filters")
     key = ["label", "size", "filter"]
     entries = rows.select("rep", "label", "size", F.explode("filters").alias("filter"))
     crowded = entries.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")
