@@ -24,8 +24,10 @@ from shelfcast.llm.shingle_join import _BYTE, _powers, mixed
 
 LENGTH = 400
 LEAD = 200
-# Bytes whose anchors are found at a time. Positions in them fit into 24 bits.
+# Bytes whose anchors are found at a time. Positions in them fit into 24 bits, with those of
+# one segment more. Longer texts are cut into segments of as many windows.
 BYTES_AT_ONCE = 1 << 20
+SEGMENT = 1 << 20
 # Different surroundings of one anchor that a task compares with as many others.
 BLOCK = 4096
 
@@ -83,39 +85,56 @@ def anchors(texts: list[bytes], length: int = LENGTH, lead: int = LEAD):
     )
 
 
-def anchor_rows(docs: DataFrame, length: int, lead: int) -> DataFrame:
-    """``row``, ``at``, ``windows``, ``lead`` and ``span`` for the anchors of all texts."""
+def segments(docs: DataFrame, length: int = LENGTH, segment: int = SEGMENT) -> DataFrame:
+    """``row``, ``offset`` and ``bytes`` of every text's segments of ``segment`` windows.
 
-    def parts(batch) -> Iterator[tuple[list, list[bytes]]]:
-        rows, texts, size = [], [], 0
-        for row, text in zip(batch["row"], batch["text"]):
-            if text.is_valid:
-                rows.append(row.as_py())
-                texts.append(text.as_py().encode())
-                size += len(texts[-1])
+    Segments overlap by ``length`` - 1 bytes, so every window is in one of them. Anchors
+    depend on a window's content alone, wherever a text is cut.
+    """
+    last = F.greatest(F.lit(0), F.ceil((F.octet_length("text") - (length - 1)) / segment).cast("int") - 1)
+    cut = docs.where(F.col("text").isNotNull()).select(
+        "row", F.col("text").cast("binary").alias("_all"), F.explode(F.sequence(F.lit(0), last)).alias("_number")
+    )
+    offset = F.col("_number").cast("long") * segment
+    part = F.substring("_all", offset.cast("int") + 1, F.lit(segment + length - 1))
+    return cut.select("row", offset.alias("offset"), part.alias("bytes"))
+
+
+def anchor_rows(parts: DataFrame, length: int, lead: int) -> DataFrame:
+    """``row``, ``offset``, ``at``, ``windows``, ``lead`` and ``span`` for the anchors of all
+    segments; ``at`` counts from the start of the text."""
+
+    def slices(batch) -> Iterator[tuple[list, list, list[bytes]]]:
+        rows, offsets, texts, size = [], [], [], 0
+        for row, offset, text in zip(batch["row"], batch["offset"], batch["bytes"]):
+            rows.append(row.as_py())
+            offsets.append(offset.as_py())
+            texts.append(text.as_py())
+            size += len(texts[-1])
             if size > BYTES_AT_ONCE:
-                yield rows, texts
-                rows, texts, size = [], [], 0
+                yield rows, offsets, texts
+                rows, offsets, texts, size = [], [], [], 0
         if rows:
-            yield rows, texts
+            yield rows, offsets, texts
 
     def run(batches):
         for batch in batches:
-            for rows, texts in parts(batch):
-                if max(map(len, texts)) > 1 << 23:
-                    raise ValueError("a text has more than 8 MB; split it into documents first")
+            for rows, offsets, texts in slices(batch):
                 text, at, windows, leads, spans = anchors(texts, length, lead)
                 if len(text):
+                    offset = np.array(offsets, np.int64)[text]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(np.array(rows, np.int64)[text]), pa.array(at.astype(np.int64)),
-                            pa.array(windows.astype(np.int64)), pa.array(leads), pa.array(spans),
+                            pa.array(np.array(rows, np.int64)[text]), pa.array(offset),
+                            pa.array(offset + at.astype(np.int64)), pa.array(windows.astype(np.int64)),
+                            pa.array(leads), pa.array(spans),
                         ],
-                        ["row", "at", "windows", "lead", "span"],
+                        ["row", "offset", "at", "windows", "lead", "span"],
                     )
         give_back()
 
-    return docs.select("row", "text").mapInArrow(run, "row long, at long, windows long, lead long, span long")
+    kind = "row long, offset long, at long, windows long, lead long, span long"
+    return parts.mapInArrow(run, kind)
 
 
 def repeated(group: pa.Table, length: int) -> pa.RecordBatch | None:
@@ -158,15 +177,18 @@ def repeated(group: pa.Table, length: int) -> pa.RecordBatch | None:
     )
 
 
-def covered(docs: DataFrame, length: int = LENGTH, lead: int = LEAD, block: int = BLOCK) -> DataFrame:
+def covered(
+    docs: DataFrame, length: int = LENGTH, lead: int = LEAD, block: int = BLOCK, segment: int = SEGMENT
+) -> DataFrame:
     """``row``, ``start`` and ``end`` of stretches covered by repeated strings, which may
-    overlap. ``docs`` has ``row`` (equal only for equal texts), ``doc_id`` and ``text``."""
-    every = stage(anchor_rows(docs, length, lead), "anchors")
+    overlap. ``docs`` has ``row`` (equal only for equal texts) and ``text``."""
+    parts = segments(docs, length, segment)
+    every = stage(anchor_rows(parts, length, lead), "anchors")
     crowded = every.groupBy("lead").agg(F.count("*").alias("n")).where("n > 1").select("lead")
     shared = stage(every.join(crowded, "lead"), "shared")
     key = ["lead", "span", "windows"]
     spans = stage(
-        shared.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct("row", "at")).alias("_one")), "spans"
+        shared.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct("row", "at", "offset")).alias("_one")), "spans"
     )
     # suffixes with all their surroundings equal are repeated as a whole, and go on as one
     equal = shared.join(spans.where("n > 1").select(*key), key, "left_semi").select(
@@ -174,7 +196,7 @@ def covered(docs: DataFrame, length: int = LENGTH, lead: int = LEAD, block: int
     )
     mixed_ = spans.groupBy("lead").agg(F.count("*").alias("m")).where("m > 1")
     placed = spans.join(mixed_, "lead").select(
-        "lead", "windows", (F.col("n") > 1).alias("merged"), "_one.row", "_one.at",
+        "lead", "windows", (F.col("n") > 1).alias("merged"), "_one.row", "_one.at", "_one.offset",
         F.ceil(F.col("m") / block).cast("int").alias("blocks"),
     )
     placed = placed.withColumn("part", F.pmod(F.xxhash64("row", "at"), F.col("blocks")).cast("int"))
@@ -182,9 +204,10 @@ def covered(docs: DataFrame, length: int = LENGTH, lead: int = LEAD, block: int
     placed = placed.where("blocks = 1 OR part <> other").withColumns(
         {"low": F.least("part", "other"), "high": F.greatest("part", "other")}
     )
-    cut = F.substring(F.col("text").cast("binary"), F.col("at").cast("int") + 1, (F.col("windows") + (length - 1)).cast("int"))
-    met = placed.join(docs.select("row", "doc_id", "text"), "row").select(
-        "lead", "low", "high", "row", "doc_id", "at", "merged", cut.alias("bytes")
+    inside = (F.col("at") - F.col("offset")).cast("int") + 1
+    cut = F.substring("bytes", inside, (F.col("windows") + (length - 1)).cast("int"))
+    met = placed.join(parts, ["row", "offset"]).select(
+        "lead", "low", "high", "row", "at", "merged", cut.alias("bytes")
     )
     found = key_groups(
         met, ["lead", "low", "high"], lambda t: repeated(t, length), "row long, start long, end long", by_range=True
@@ -192,7 +215,9 @@ def covered(docs: DataFrame, length: int = LENGTH, lead: int = LEAD, block: int
     return found.unionAll(equal)
 
 
-def remove(docs: DataFrame, length: int = LENGTH, lead: int = LEAD, block: int = BLOCK) -> DataFrame:
+def remove(
+    docs: DataFrame, length: int = LENGTH, lead: int = LEAD, block: int = BLOCK, segment: int = SEGMENT
+) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept`` (the bytes that remain)
     and ``kept_sha256`` of every row of ``docs``.
 
@@ -200,10 +225,10 @@ def remove(docs: DataFrame, length: int = LENGTH, lead: int = LEAD, block: int =
     in the same text or another; strings are judged on the input and never cross texts.
     Null texts count as empty. Texts shorter than ``length`` stay whole. Repeated rows are
     documents of their own, so they repeat each other. Null ids are no hindrance. Other
-    columns are not read. A text of more than 8 MB raises an error.
+    columns are not read. Texts of more than ``segment`` windows are searched in segments.
     """
     docs = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text")
-    found = covered(docs, length, lead, block)
+    found = covered(docs, length, lead, block, segment)
     places = found.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("places"))
     joined = docs.join(places.withColumnRenamed("row", "_row"), F.col("row") == F.col("_row"), "left")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string"
