@@ -122,7 +122,8 @@ def _passed(vectors, cap, codes, seed):
 def filter_rows(
     vectors: DataFrame, cap: float | None = None, codes: int = CODES, cosine: float = COSINE
 ) -> DataFrame:
-    """``rep``, ``label``, ``copies``, ``size``, ``embedding`` and ``filters`` of vectors."""
+    """``row``, ``rep``, ``label``, ``copies``, ``size``, ``embedding`` and ``filters`` of
+    vectors."""
 
     vector_type = vectors.schema["embedding"].dataType
 
@@ -137,14 +138,14 @@ def filter_rows(
                 filters[k] = f
         return pa.RecordBatch.from_arrays(
             [
-                batch["rep"], batch["label"], batch["copies"], pa.array(sizes.astype(np.int32)),
+                batch["row"], batch["rep"], batch["label"], batch["copies"], pa.array(sizes.astype(np.int32)),
                 batch["embedding"], pa.array(filters, pa.list_(pa.int32())),
             ],
-            ["rep", "label", "copies", "size", "embedding", "filters"],
+            ["row", "rep", "label", "copies", "size", "embedding", "filters"],
         )
 
-    vectors = vectors.select("rep", "label", "copies", F.col("embedding").cast("array<double>"))
-    kind = "rep long, label int, copies long, size int, embedding array<double>, filters array<int>"
+    vectors = vectors.select("row", "rep", "label", "copies", F.col("embedding").cast("array<double>"))
+    kind = "row long, rep long, label int, copies long, size int, embedding array<double>, filters array<int>"
     made = each_batch(vectors, work, kind)
     # components that are single numbers stay so where they travel
     return made.withColumn("embedding", F.col("embedding").cast(vector_type))
@@ -183,6 +184,7 @@ def compare(block: pa.Table, cosine: float) -> pa.RecordBatch | None:
     mine = block["filter"][0].as_py()
     low, high = block["low"][0].as_py(), block["high"][0].as_py()
     vectors, reps = unit(matrix(block["embedding"])), block["rep"].to_numpy()
+    names = block["row"].to_numpy()
     copies = block["copies"].to_numpy()
     filters = [np.asarray(f, np.int32) for f in block["filters"].to_pylist()]
     part = block["part"].to_numpy()
@@ -207,7 +209,8 @@ def compare(block: pa.Table, cosine: float) -> pa.RecordBatch | None:
             break
     seen = (links > 0) | (root != reps)
     return pa.RecordBatch.from_arrays(
-        [pa.array(reps[seen]), pa.array(links[seen]), pa.array(root[seen])], ["rep", "links", "root"]
+        [pa.array(names[seen]), pa.array(reps[seen]), pa.array(links[seen]), pa.array(root[seen])],
+        ["row", "rep", "links", "root"],
     )
 
 
@@ -232,32 +235,34 @@ def link(
     vectors = vectors.select("vec_id", "label", "embedding")
     good = usable("embedding") & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     usable_rows = stage(vectors.where(good), "vectors")
-    distinct = stage(distinct_vectors(usable_rows, "label"), "distinct")
+    # an id may have several labels and vectors, so what travels is named by its content
+    named = F.xxhash64("label", "embedding").alias("row")
+    distinct = stage(distinct_vectors(usable_rows, "label").select(named, "*"), "distinct")
     rows = stage(filter_rows(distinct.repartition("rep"), cap, codes, cosine), "filters")
     key = ["label", "size", "filter"]
-    entries = rows.select("rep", "label", "size", F.explode("filters").alias("filter"))
+    entries = rows.select("row", "label", "size", F.explode("filters").alias("filter"))
     crowded = entries.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")
     met = stage(entries.join(crowded, key), "met")
     blocks = F.ceil(F.col("n") / block).cast("int")
-    placed = met.withColumn("blocks", blocks).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    placed = met.withColumn("blocks", blocks).withColumn("part", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     placed = placed.withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")})
-    met_rows = placed.join(rows.select("rep", "copies", "embedding", "filters"), "rep").select(
-        *key, "low", "high", "part", "rep", "copies", "embedding", "filters"
+    met_rows = placed.join(rows.select("row", "rep", "copies", "embedding", "filters"), "row").select(
+        *key, "low", "high", "part", "row", "rep", "copies", "embedding", "filters"
     )
     found = stage(
         key_groups(
-            met_rows, [*key, "low", "high"], lambda t: compare(t, cosine), "rep long, links long, root long"
+            met_rows, [*key, "low", "high"], lambda t: compare(t, cosine), "row long, rep long, links long, root long"
         ),
         "links",
     )
-    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
+    links = found.groupBy("row").agg(F.sum("links").alias("links"))
     edges = found.select(F.col("rep").alias("a"), F.col("root").alias("b"))
-    same_id = usable_rows.join(distinct, ["label", "embedding"]).select("vec_id", "rep", "copies")
+    same_id = usable_rows.join(distinct, ["label", "embedding"]).select("vec_id", "row", "rep", "copies")
     same_id = stage(same_id, "copies")
     copy_edges = same_id.where("vec_id <> rep").select(F.col("vec_id").alias("a"), F.col("rep").alias("b"))
     roots = connected_components(stage(edges.unionAll(copy_edges), "edges"))
-    linked = same_id.join(links, "rep", "left").select(
+    linked = same_id.join(links, "row", "left").select(
         "vec_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
     every = linked.unionAll(vectors.where(~good).select("vec_id", F.lit(0).cast("long").alias("n_links")))

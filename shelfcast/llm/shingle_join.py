@@ -93,8 +93,8 @@ def bands(hashes: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``set_a`` and ``set_b`` (a 128-bit name of the set) and
-    ``bands`` of every document."""
+    """``doc_id``, ``row``, ``n_shingles``, ``set_a`` and ``set_b`` (a 128-bit name of the
+    set) and ``bands`` of every document."""
 
     def work(batch):
         sizes, first, second, keys = [], [], [], []
@@ -106,14 +106,14 @@ def sketches(docs: DataFrame) -> DataFrame:
             keys.append(bands(found) if len(found) else None)
         return pa.RecordBatch.from_arrays(
             [
-                batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(first, pa.int64()),
+                batch["doc_id"], batch["row"], pa.array(sizes, pa.int64()), pa.array(first, pa.int64()),
                 pa.array(second, pa.int64()), pa.array(keys, pa.list_(pa.int64())),
             ],
-            ["doc_id", "n_shingles", "set_a", "set_b", "bands"],
+            ["doc_id", "row", "n_shingles", "set_a", "set_b", "bands"],
         )
 
-    kind = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
-    return each_batch(docs.select("doc_id", "text"), work, kind)
+    kind = "doc_id long, row long, n_shingles long, set_a long, set_b long, bands array<long>"
+    return each_batch(docs.select("doc_id", "row", "text"), work, kind)
 
 
 class Tree:
@@ -206,7 +206,7 @@ def classes(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
 
 
 def _linked(group: pa.Table, percent: int) -> pa.RecordBatch:
-    """Of one group: every document and the smallest id of its class there."""
+    """Of one group: every document and the smallest name of its class there."""
     ids = group["rep"].to_numpy()
     found = classes([shingles(t) for t in group["text"].to_pylist()], percent)
     least = np.full(len(ids), np.iinfo(np.int64).max)
@@ -220,19 +220,34 @@ def join(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFra
     Two documents link when the Jaccard similarity of their sets of five-word shingles
     reaches ``percent``. A text without words, or null, has no set and links with nothing;
     one with fewer than five words has one shingle. Equal sets are merged before anything
-    is compared. Repeated rows of an id count as rows with that id. A null id is a row of
+    is compared. Repeated rows of an id count as rows with that id: each links by its own
+    text, and a component is called by the smallest id of its rows. A null id is a row of
     its own, without links, and has a null component. Other columns are not read.
 
     Groups of candidates are cut into blocks of ``block`` sets; every pair of blocks is one
     task's work, so a third of all documents in one group is spread over many.
     """
-    docs = docs.select("doc_id", "text")
+    return _joined(docs, percent, block).drop("row")
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``row``, a name that rows share only if id and text are the same."""
+    return docs.withColumn("row", F.xxhash64("doc_id", "text"))
+
+
+def _joined(docs: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """What ``join`` gives, and the ``row`` it belongs to."""
+    docs = _named(docs.select("doc_id", "text"))
     sketch = stage(sketches(docs), "sketches")
     named = ["n_shingles", "set_a", "set_b"]
     filled = sketch.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    reps = stage(filled.groupBy(*named).agg(F.min("doc_id").alias("rep")), "reps")
-    of_rep = filled.join(reps.select(*named, F.col("rep").alias("doc_id")), [*named, "doc_id"], "left_semi")
-    entries = of_rep.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("band"))
+    one = F.min(F.struct("doc_id", "row")).alias("_one")
+    reps = filled.groupBy(*named).agg(one).select(*named, F.col("_one.doc_id").alias("id"), F.col("_one.row").alias("rep"))
+    reps = stage(reps, "reps")
+    of_rep = filled.join(reps.select(*named, F.col("rep").alias("row")), [*named, "row"], "left_semi")
+    entries = of_rep.select(F.col("row").alias("rep"), F.explode("bands").alias("band"))
+    repeats = _repeats(sketch)
+    entries = entries.distinct() if repeats else entries
     crowded = entries.groupBy("band").agg(F.min("rep").alias("first"), F.count("*").alias("n")).where("n > 1")
     stars = entries.join(crowded, "band").where("rep <> first").select(
         F.col("first").alias("a"), F.col("rep").alias("b")
@@ -249,33 +264,38 @@ def join(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFra
         "rep", "group", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high")
     )
     # merge joins at every size, so that a small table shows what a large one costs
-    wanted = placed.select(F.col("rep").alias("doc_id")).distinct().hint("merge")
-    texts = docs.join(wanted, "doc_id", "left_semi")
-    texts = texts.groupBy("doc_id").agg(F.min("text").alias("text")) if _repeats(sketch) else texts
-    met = placed.join(texts.hint("merge"), placed["rep"] == texts["doc_id"]).select("group", "low", "high", "rep", "text")
+    wanted = placed.select(F.col("rep").alias("row")).distinct().hint("merge")
+    texts = docs.join(wanted, "row", "left_semi")
+    texts = texts.groupBy("row").agg(F.min("text").alias("text")) if repeats else texts
+    met = placed.join(texts.hint("merge"), placed["rep"] == texts["row"]).select("group", "low", "high", "rep", "text")
     linked = key_groups(met, ["group", "low", "high"], lambda t: _linked(t, percent), "rep long, root long")
     edges = linked.where("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b"))
     roots = connected_components(stage(edges, "edges")).withColumnRenamed("id", "rep")
-    component = reps.join(roots, "rep", "left").select(*named, F.coalesce("root", "rep").alias("_root"))
+    # from the names of rows back to ids
+    linked_reps = reps.join(roots, "rep")
+    smallest = linked_reps.groupBy("root").agg(F.min("id").alias("_least"))
+    called = linked_reps.join(smallest, "root").select("rep", "_least")
+    component = reps.join(called, "rep", "left").select(*named, F.coalesce("_least", "id").alias("_root"))
     same = [sketch[c] == component[c] for c in named]
     return sketch.join(component, same, "left").select(
         "doc_id",
         sketch["n_shingles"],
         F.when((sketch["n_shingles"] > 0) & F.col("doc_id").isNotNull(), F.col("_root"))
         .otherwise(F.col("doc_id")).alias("component_id"),
+        "row",
     )
 
 
 def _repeats(sketch: DataFrame) -> bool:
-    """Whether an id occurs in more than one row."""
-    return not sketch.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+    """Whether an id occurs with one text in more than one row."""
+    return not sketch.groupBy("row").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
 
 
 def one_of_each_group(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` without the rows whose component has a smaller id. Rows without words stay."""
-    joined = join(docs, percent)
-    gone = joined.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+    joined = _joined(docs, percent)
+    gone = joined.where("doc_id <> component_id").select(F.col("row").alias("_row")).distinct()
+    return docs.join(gone, F.xxhash64("doc_id", "text") == F.col("_row"), "left_anti")
 
 
 def query(spark, sf_dir):
