@@ -270,6 +270,6 @@ def random_forest_classifier(spark, sf_dir):
 def forest_sweep(spark, sf_dir):
     rated = _rated_features(spark, sf_dir).where(F.col("label").isNotNull())
     train, test = train_and_test(rated, ["doc_id"], hold_out_from="aa")
-    scores = forest.sweep(train, test, repeats=3, seed=SPLIT_SEED)
+    scores = forest.sweep(train, test, tree_depths=(None, 1), seed=SPLIT_SEED)
     boxes = box_statistics(scores, ["parameter", "setting", "capped"], "score")
     return boxes.orderBy("parameter", "setting")
