@@ -17,6 +17,7 @@ from shelfcast.plans.registry import HELD_OUT_SQL, PANEL_KEY, over_panel, regist
 from shelfcast.plans.shared import stored_panel, stored_prepared_panel
 from shelfcast.scratch import fresh_path
 from shelfcast.sources.panel import known_rows, rated_documents
+from shelfcast.sources.scans import read_named
 
 _LINE_SQL = over_panel(
     """, fit AS (SELECT regr_intercept(label, dn) AS a, regr_slope(label, dn) AS b FROM panel WHERE label IS NOT NULL)
@@ -266,10 +267,76 @@ def random_forest_classifier(spark, sf_dir):
     return predicted.select("doc_id", F.col("prediction").cast("int").alias("quality"))
 
 
+# Lengths in characters: the input says which documents pass the first, the label the second.
+LONG_FROM = (1000, 1500)
+
+_BOXED = ["parameter", "setting", "capped"]
+
+
 @register("forest_sweep")
 def forest_sweep(spark, sf_dir):
     rated = _rated_features(spark, sf_dir).where(F.col("label").isNotNull())
-    train, test = train_and_test(rated, ["doc_id"], hold_out_from="aa")
-    scores = forest.sweep(train, test, tree_depths=(None, 1), seed=SPLIT_SEED)
-    boxes = box_statistics(scores, ["parameter", "setting", "capped"], "score")
+    scores = forest.sweep(rated, ["doc_id"], seed=SPLIT_SEED)
+    return box_statistics(scores, _BOXED, "score").orderBy("parameter", "setting")
+
+
+def _sweep_by_length_sql() -> str:
+    """With one 0/1 input every forest says the commoner class of either side, so all
+    repeats of a setting have the accuracy of that rule on the setting's hold-out."""
+    rows = ", ".join(
+        f"('{s.parameter}', '{s.value}', {s.capped}, '{s.split}')" for s in forest.standard_settings()
+    )
+    return f"""WITH settings (parameter, setting, capped, split) AS (VALUES {rows}),
+    parted AS (
+      SELECT s.*, n_chars > {LONG_FROM[0]} AS flag, n_chars > {LONG_FROM[1]} AS label,
+             substr(md5(split || '|' || doc_id), 1, 3) >= '{forest.HOLD_OUT_FROM}' AS held_out
+      FROM documents, settings s
+    ),
+    side AS (
+      SELECT parameter, setting, flag, avg(CAST(label AS INTEGER)) > 0.5 AS guess
+      FROM parted WHERE NOT held_out GROUP BY ALL
+    ),
+    scored AS (
+      SELECT p.parameter, p.setting, p.capped, round(avg(CAST(label = guess AS INTEGER)), 6) AS score
+      FROM parted p JOIN side USING (parameter, setting, flag) WHERE held_out GROUP BY ALL
+    )
+    SELECT parameter, setting, capped, CAST(100 AS BIGINT) AS n_values, score AS q1, score AS median,
+           score AS q3, score AS whisker_low, score AS whisker_high, CAST(0 AS BIGINT) AS n_outliers
+    FROM scored"""
+
+
+_SPLITS = sorted({s.split for s in forest.standard_settings()})
+
+
+@register(
+    "forest_hold_outs",
+    over_rated(
+        f""", named (split) AS (VALUES {', '.join(f"('{s}')" for s in _SPLITS)}),
+        parted AS (
+          SELECT doc_id, split, substr(md5(split || '|' || doc_id), 1, 3) >= '{forest.HOLD_OUT_FROM}' AS held_out
+          FROM rated, named WHERE quality IS NOT NULL
+        )
+        SELECT doc_id, COALESCE(string_agg(split, ',' ORDER BY split) FILTER (WHERE held_out), '') AS held_out_of,
+               CAST(count(*) FILTER (WHERE held_out) AS INTEGER) AS n_held_out FROM parted GROUP BY doc_id"""
+    ),
+)
+def forest_hold_outs(spark, sf_dir):
+    """The splits of the sweep that hold out each rated document; it trains in the others."""
+    rated = rated_documents(spark, sf_dir).where(F.col("quality").isNotNull())
+    named = rated.select("doc_id", forest.held_out_of(["doc_id"], _SPLITS).alias("named"))
+    return named.select(
+        "doc_id", F.array_join("named", ",").alias("held_out_of"), F.size("named").alias("n_held_out")
+    )
+
+
+@register("forest_sweep_by_length", _sweep_by_length_sql())
+def forest_sweep_by_length(spark, sf_dir):
+    lengths = read_named(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.col("n_chars") > LONG_FROM[0]).cast("int").alias("flag"),
+        (F.col("n_chars") > LONG_FROM[1]).cast("double").alias("label"),
+    )
+    flagged = VectorAssembler(inputCols=["flag"], outputCol="features").transform(lengths)
+    scores = forest.sweep(flagged, ["doc_id"], seed=SPLIT_SEED)
+    boxes = box_statistics(scores.withColumn("score", F.round("score", 6)), _BOXED, "score")
     return boxes.orderBy("parameter", "setting")
