@@ -13,7 +13,7 @@ from shelfcast.operators.evaluate import rmse_of
 from shelfcast.operators.models import fitted_line, predicted_unknown
 from shelfcast.operators.sampling import SPLIT_SEED, train_and_test, with_part, with_random_part
 from shelfcast.operators.store import ModelStore
-from shelfcast.plans.registry import HELD_OUT_SQL, PANEL_KEY, over_panel, register
+from shelfcast.plans.registry import HELD_OUT_SQL, PANEL_KEY, over_panel, over_rated, register
 from shelfcast.plans.shared import stored_panel, stored_prepared_panel
 from shelfcast.scratch import fresh_path
 from shelfcast.sources.panel import known_rows, rated_documents
