@@ -1,19 +1,23 @@
 """One regression per key, for all keys in one grouped pass.
 
-Least squares needs sums of products only. They are summed before the shuffle, so a key
-with a third of all rows costs a task no more than any other key.
+Least squares needs counts, means and co-moments only. They are merged before the shuffle,
+so a key with a third of all rows costs a task no more than any other key. The models are
+a table of weights, which a join applies to rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from shelfcast.functions.columns import non_negative
+from shelfcast.operators import moments
+from shelfcast.operators.forecast import union_tables
+from shelfcast.operators.skew import spread_join
+from shelfcast.scratch import stage
 
 # The inputs that vary inside one item and store; the last weekday has no slot.
 WEEKDAY_SLOTS = [1, 2, 3, 4, 5, 6]
@@ -62,123 +66,182 @@ def line_error_per_key(parted: DataFrame, keys: Sequence[str], x: str, y: str) -
     return stats.select(*keys, "n_test", error.alias("rmse"))
 
 
-def _centred(moments: np.ndarray, means: np.ndarray) -> np.ndarray:
-    """Moment matrices after subtracting ``means`` from inputs and target."""
-    count, sums = moments[:, :1, :1], moments[:, 1:, 0]
-    cross = means[:, :, None] * sums[:, None, :]
-    inner = moments[:, 1:, 1:] - cross - cross.transpose(0, 2, 1)
-    return inner + count * means[:, :, None] * means[:, None, :]
-
-
-def _solve(comoments: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _solve(comoments: np.ndarray, n: np.ndarray, means: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Weights and rank from stacked co-moments of (inputs, target).
 
-    Directions without variance get weight 0.
+    Directions without variance get weight 0. An input counts as constant where its spread
+    is below what rounding leaves of its mean.
     """
     gram, target = comoments[:, :-1, :-1], comoments[:, :-1, -1]
     scale = np.sqrt(np.maximum(np.einsum("kii->ki", gram), 0.0))
-    scale[scale < 1e-6] = 1.0
-    values, vectors = np.linalg.eigh(gram / (scale[:, :, None] * scale[:, None, :]))
-    kept = values > 1e-8 * np.maximum(values[:, -1:], 1e-12)
+    noise = np.sqrt(np.maximum(n, 1.0))[:, None] * (1e-9 * np.abs(means[:, :-1]) + 1e-12)
+    constant = scale <= noise
+    scale[constant] = 1.0
+    varying = ~constant
+    unit = gram / (scale[:, :, None] * scale[:, None, :]) * (varying[:, :, None] & varying[:, None, :])
+    values, vectors = np.linalg.eigh(unit)
+    kept = values > 1e-11 * np.maximum(values[:, -1:], 1e-12)
     inverse = np.where(kept, 1.0 / np.where(kept, values, 1.0), 0.0)
-    projected = np.einsum("kji,kj->ki", vectors, target / scale) * inverse
+    projected = np.einsum("kji,kj->ki", vectors, varying * target / scale) * inverse
     return np.einsum("kij,kj->ki", vectors, projected) / scale, kept.sum(axis=1)
 
 
-def _matrices(halves: pa.ListArray, size: int) -> np.ndarray:
-    """Symmetric matrices from their upper halves; zeros where there is none."""
-    upper = np.triu_indices(size)
-    flat = np.zeros((len(halves), len(upper[0])))
-    present = halves.is_valid().to_numpy(zero_copy_only=False)
-    flat[present] = halves.flatten().to_numpy().reshape(-1, flat.shape[1])
-    full = np.zeros((len(flat), size, size))
-    full[:, upper[0], upper[1]] = flat
-    full[:, upper[1], upper[0]] = flat
+def _full(halves: np.ndarray, size: int) -> np.ndarray:
+    """Symmetric matrices from their upper halves."""
+    i, j = moments.pairs(size)
+    full = np.zeros((len(halves), size, size))
+    full[:, i, j] = halves
+    full[:, j, i] = halves
     return full
 
 
-def _counts(column: pa.Array) -> np.ndarray:
-    return column.fill_null(0).to_numpy()
-
-
-def least_squares_per_key(
+def moment_states(
     parted: DataFrame,
-    keys: Sequence[str],
+    levels: Sequence[Sequence[str]],
     inputs: dict[str, Column],
     y: str,
+    repeats: Column | None = None,
 ) -> DataFrame:
-    """Linear model per key on the train rows, with its RMSE on the test rows.
+    """Centred moments of inputs and target, per key of every level and part.
 
-    Output: keys, ``n_train``, ``n_test``, ``rank``, ``rmse``, ``state``. One pass sums the
-    products of inputs and target; centring, solving and scoring work on those sums, whose
-    number does not grow with the rows of a key. Rows with a null input or target do not
-    take part.
+    ``levels`` run from fine to coarse; all come from one exchange. ``repeats`` says how
+    often a row counts. Rows with a null input or target do not take part.
     """
-    size = len(inputs) + 2
-    names = ["_one", *[f"_x{i}" for i in range(len(inputs))], "_y"]
-    whole = reduce(lambda a, b: a & b, [c.isNotNull() for c in [*inputs.values(), F.col(y)]])
-    rows = parted.where(whole).select(
-        *keys,
-        "part",
-        F.lit(1.0).alias("_one"),
-        *[c.cast("double").alias(n) for n, c in zip(names[1:], inputs.values())],
-        F.col(y).cast("double").alias("_y"),
-    )
-    products = [f"sum({names[i]} * {names[j]})" for i, j in zip(*np.triu_indices(size))]
-    sums = rows.groupBy(*keys, "part").agg(
-        F.count("*").alias("n"), F.expr(f"array({', '.join(products)})").alias("moments")
-    )
-    per_key = sums.groupBy(*keys).agg(
+    rows = moments.row_states(parted, levels[0], [*inputs.values(), F.col(y)], repeats)
+    return moments.merged_states(rows, levels, len(inputs) + 1)
+
+
+def solved(states: DataFrame, keys: Sequence[str], inputs: Sequence[str]) -> DataFrame:
+    """Linear model per key from the train states, scored on the test states.
+
+    Output: keys, ``n_train``, ``n_test``, ``rank``, ``rmse``, ``state``, ``weights`` (in
+    the order of ``inputs``) and ``intercept``. A key's number of states does not grow with
+    its rows, and neither does what is worked out here.
+    """
+    size = len(inputs) + 1
+    half = size * (size + 1) // 2
+    sides = states.groupBy(*keys).agg(
         *[
-            F.expr(f"max({c}) FILTER (WHERE part = '{part}')").alias(f"{c}_{part}")
+            F.expr(f"max_by({c}, n) FILTER (WHERE part = '{part}')").alias(f"{c}_{part}")
             for part in ("train", "test")
-            for c in ("n", "moments")
+            for c in ("n", "means", "comoments")
         ]
     )
 
-    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            n_train, n_test = _counts(batch["n_train"]), _counts(batch["n_test"])
-            train = _matrices(batch["moments_train"], size)
-            means = train[:, 1:, 0] / np.maximum(n_train, 1)[:, None]
-            weights = np.zeros((len(train), size - 2))
-            rank = np.zeros(len(train), dtype="int32")
-            # A single row determines the level only.
-            several = n_train > 1
-            if several.any():
-                weights[several], rank[several] = _solve(_centred(train[several], means[several]))
-            rank[n_train > 0] += 1
+            n_train, n_test = (batch[f"n_{p}"].fill_null(0.0).to_numpy() for p in ("train", "test"))
+            means, test_means = (moments.matrix_of(batch[f"means_{p}"], size) for p in ("train", "test"))
+            train, test = (_full(moments.matrix_of(batch[f"comoments_{p}"], half), size) for p in ("train", "test"))
+            weights, rank = _solve(train, n_train, means)
+            rank = rank + (n_train > 0)
+            # test rows about the train means, on which the line lies
+            off = test_means - means
+            test = test + n_test[:, None, None] * off[:, :, None] * off[:, None, :]
             signed = np.concatenate([-weights, np.ones((len(train), 1))], axis=1)
-            test = _centred(_matrices(batch["moments_test"], size), means)
             residual = np.einsum("ki,kij,kj->k", signed, test, signed)
-            rmse = np.sqrt(np.maximum(residual, 0.0) / np.maximum(n_test, 1))
+            rmse = np.sqrt(np.maximum(residual, 0.0) / np.maximum(n_test, 1.0))
             state = np.select(
-                [n_train == 0, n_test == 0, rank < size - 1],
-                ["NO_TRAIN_ROWS", "NO_TEST_ROWS", "SINGULAR"],
-                "OK",
+                [n_train == 0, n_test == 0, rank < size], ["NO_TRAIN_ROWS", "NO_TEST_ROWS", "SINGULAR"], "OK"
             )
+            level = np.einsum("ki,ki->k", signed, means)
+            untrained = n_train == 0
+            lists = moments.lists_of(weights).to_pylist()
             yield pa.RecordBatch.from_arrays(
                 [batch[k] for k in keys]
                 + [
-                    pa.array(n_train),
-                    pa.array(n_test),
-                    pa.array(rank),
-                    pa.array(rmse, mask=(n_train == 0) | (n_test == 0)),
+                    pa.array(n_train.astype("int64")),
+                    pa.array(n_test.astype("int64")),
+                    pa.array(rank.astype("int32")),
+                    pa.array(rmse, mask=untrained | (n_test == 0)),
                     pa.array(state.tolist(), pa.string()),
+                    pa.array([None if u else w for u, w in zip(untrained, lists)], pa.list_(pa.float64())),
+                    pa.array(level, mask=untrained),
                 ],
-                names=[*keys, "n_train", "n_test", "rank", "rmse", "state"],
+                names=[*keys, "n_train", "n_test", "rank", "rmse", "state", "weights", "intercept"],
             )
 
     schema = T.StructType(
-        [per_key.schema[k] for k in keys]
+        [sides.schema[k] for k in keys]
         + [
             T.StructField("n_train", T.LongType()),
             T.StructField("n_test", T.LongType()),
             T.StructField("rank", T.IntegerType()),
             T.StructField("rmse", T.DoubleType()),
             T.StructField("state", T.StringType()),
+            T.StructField("weights", T.ArrayType(T.DoubleType())),
+            T.StructField("intercept", T.DoubleType()),
         ]
     )
-    return per_key.mapInArrow(solve, schema)
+    return sides.mapInArrow(work, schema)
+
+
+def least_squares_per_key(
+    parted: DataFrame, keys: Sequence[str], inputs: dict[str, Column], y: str, repeats: Column | None = None
+) -> DataFrame:
+    """Linear model per key on the train rows, with its RMSE on the test rows.
+
+    Output: keys, ``n_train``, ``n_test``, ``rank``, ``rmse``, ``state``; the models
+    themselves are those of ``weights_per_key``.
+    """
+    models = weights_per_key(parted, keys, inputs, y, repeats)
+    return models.drop("weights", "intercept")
+
+
+def weights_per_key(
+    parted: DataFrame, keys: Sequence[str], inputs: dict[str, Column], y: str, repeats: Column | None = None
+) -> DataFrame:
+    """The models as a table, one row per key: see ``solved``."""
+    states = moment_states(parted, [list(keys)], inputs, y, repeats)
+    return solved(states, keys, list(inputs))
+
+
+def weights_by_level(
+    parted: DataFrame, levels: dict[str, Sequence[str]], inputs: dict[str, Column], y: str
+) -> DataFrame:
+    """Models of several levels of one roll-up, from fine to coarse.
+
+    Rows are read and exchanged once, on the key of the second coarsest level. The states
+    that it ends in are few, one per key, and are merged once more for the coarsest.
+    """
+    names, keys = list(levels), [list(k) for k in levels.values()]
+    columns = list(dict.fromkeys(c for k in keys for c in k))
+    # a coarse key is a property of the finer ones and travels with them
+    carried = [list(dict.fromkeys(c for k in keys[i:] for c in k)) for i in range(len(keys))]
+    below = stage(moment_states(parted, carried[:-1], inputs, y), "moments")
+    top = moments.merged_states(
+        below.where(F.col("level") == len(keys) - 2).select(*carried[-1], *moments.STATE),
+        carried[-1:],
+        len(inputs) + 1,
+    )
+    tables = []
+    for number, (name, own) in enumerate(zip(names, keys)):
+        last = number == len(keys) - 1
+        states = top if last else below.where(F.col("level") == number)
+        found = solved(states, own, list(inputs))
+        kinds = {f.name: f.dataType for f in parted.schema}
+        absent = [F.lit(None).cast(kinds[c]).alias(c) for c in columns if c not in own]
+        rest = [c for c in found.columns if c not in own]
+        tables.append(found.select(F.lit(name).alias("level"), *own, *absent, *rest))
+    return union_tables(tables)
+
+
+def predictions_per_key(
+    rows: DataFrame,
+    models: DataFrame,
+    keys: Sequence[str],
+    inputs: dict[str, Column],
+    spread_by: Sequence[str],
+) -> DataFrame:
+    """``rows`` with the ``prediction`` of their key's model; null without a model or input.
+
+    The models are a table, so a join hands them out; the rows of a frequent key are split.
+    """
+    table = stage(models.select(*keys, "weights", "intercept"), "models")
+    joined = spread_join(rows, table, keys, spread_by, lookup_rows=table.count(), how="left")
+    values = F.array(*[c.cast("double") for c in inputs.values()])
+    terms = F.zip_with("weights", values, lambda w, v: w * v)
+    total = F.aggregate(terms, F.col("intercept"), lambda a, t: a + t)
+    return joined.withColumn("prediction", total).drop("weights", "intercept")

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from shelfcast.operators import clean, encoding, forest, grouped, training
 from shelfcast.operators.boxstats import box_statistics
 from shelfcast.operators.evaluate import rmse_of
+from shelfcast.operators.forecast import union_tables
 from shelfcast.operators.models import fitted_line, predicted_unknown
 from shelfcast.operators.sampling import SPLIT_SEED, train_and_test, with_part, with_random_part
 from shelfcast.operators.store import ModelStore
 from shelfcast.plans.registry import HELD_OUT_SQL, PANEL_KEY, over_panel, over_rated, register
 from shelfcast.plans.shared import stored_panel, stored_prepared_panel
-from shelfcast.scratch import fresh_path
+from shelfcast.scratch import fresh_path, stage
 from shelfcast.sources.panel import known_rows, rated_documents
 from shelfcast.sources.scans import read_named
 
@@ -163,6 +164,119 @@ def per_department_least_squares(spark, sf_dir):
     return grouped.least_squares_per_key(parted, ["dept_id"], grouped.panel_inputs(), "label")
 
 
+@register(
+    "per_key_weights",
+    over_panel(
+        """, fit AS (
+          SELECT item_id, count(*) AS n, CASE WHEN count(DISTINCT dn) > 1 THEN regr_slope(label, dn) ELSE 0 END AS a,
+                 avg(label) AS y, avg(dn) AS x, CAST(1 + CAST(count(DISTINCT dn) > 1 AS INTEGER) AS INTEGER) AS rank
+          FROM panel WHERE label IS NOT NULL GROUP BY item_id
+        )
+        SELECT item_id, n AS n_train, round(a, 6) AS slope, round(y - a * x, 6) AS intercept, rank FROM fit"""
+    ),
+)
+def per_key_weights(spark, sf_dir):
+    """The table of models with the day as only input, fitted on all known rows."""
+    known = clean.known(stored_panel(spark, sf_dir)).withColumn("part", F.lit("train"))
+    models = grouped.weights_per_key(known, ["item_id"], {"dn": F.col("dn")}, "label")
+    return models.select(
+        "item_id",
+        "n_train",
+        F.round(F.col("weights")[0], 6).alias("slope"),
+        F.round("intercept", 6).alias("intercept"),
+        "rank",
+    )
+
+
+@register(
+    "per_key_predictions",
+    over_panel(
+        """, fit AS (
+          SELECT item_id, CASE WHEN count(DISTINCT dn) > 1 THEN regr_slope(label, dn) ELSE 0 END AS a, avg(label) AS y, avg(dn) AS x
+          FROM panel WHERE label IS NOT NULL GROUP BY item_id
+        )
+        SELECT p.item_id, store_id, dn, round(y + a * (dn - x), 4) AS prediction
+        FROM panel p LEFT JOIN fit ON fit.item_id = p.item_id WHERE label IS NULL"""
+    ),
+)
+def per_key_predictions(spark, sf_dir):
+    panel = stored_panel(spark, sf_dir)
+    known = clean.known(panel).withColumn("part", F.lit("train"))
+    day = {"dn": F.col("dn")}
+    models = grouped.weights_per_key(known, ["item_id"], day, "label")
+    rows = clean.to_predict(panel).select("item_id", "store_id", "dn")
+    predicted = grouped.predictions_per_key(rows, models, ["item_id"], day, PANEL_KEY)
+    return predicted.select("item_id", "store_id", "dn", F.round("prediction", 4).alias("prediction"))
+
+
+# Levels whose errors are published, from fine to coarse.
+LEVELS = {"item_store": ["item_id", "store_id"], "item": ["item_id"], "department": ["dept_id"]}
+
+
+def _level_sql(name: str, keys: list[str]) -> str:
+    held_out = HELD_OUT_SQL.replace("item_id", "p.item_id").replace("store_id", "p.store_id")
+    own = ", ".join(f"p.{c}" if c in keys else f"NULL AS {c}" for c in ("item_id", "store_id", "dept_id"))
+    same = " AND ".join(f"fit.{k} = p.{k}" for k in keys)
+    return f"""SELECT '{name}' AS level, {own}, count(*) FILTER (WHERE NOT ({held_out})) AS n_train,
+        count(*) FILTER (WHERE {held_out}) AS n_test,
+        round(sqrt(avg(pow(label - y - a * (dn - x), 2)) FILTER (WHERE {held_out})), 4) AS rmse
+      FROM panel p LEFT JOIN (
+        SELECT {', '.join(keys)}, CASE WHEN count(DISTINCT dn) > 1 THEN regr_slope(label, dn) ELSE 0 END AS a, avg(label) AS y, avg(dn) AS x
+        FROM panel WHERE label IS NOT NULL AND NOT ({HELD_OUT_SQL}) GROUP BY ALL
+      ) fit ON {same} WHERE label IS NOT NULL GROUP BY {', '.join(f'p.{k}' for k in keys)}"""
+
+
+@register(
+    "errors_by_level",
+    over_panel(" SELECT * FROM (" + " UNION ALL ".join(_level_sql(n, k) for n, k in LEVELS.items()) + ")"),
+)
+def errors_by_level(spark, sf_dir):
+    """Errors of models per item and store, item, and department from one pass, with the
+    day as only input."""
+    parted = with_part(clean.known(stored_panel(spark, sf_dir)), PANEL_KEY)
+    found = grouped.weights_by_level(parted, LEVELS, {"dn": F.col("dn")}, "label")
+    return found.select(
+        "level", "item_id", "store_id", "dept_id", "n_train", "n_test", F.round("rmse", 4).alias("rmse")
+    )
+
+
+_INPUT_SQL = {f"wday_{d}": f"CAST(wday = {d} AS INTEGER)" for d in grouped.WEEKDAY_SLOTS} | {
+    c: c for c in grouped.PLAIN_INPUTS
+}
+
+
+@register(
+    "normal_equations_by_level",
+    over_panel(
+        " SELECT * FROM ("
+        + " UNION ALL ".join(
+            f"""SELECT '{name}' AS level, {', '.join(c if c in keys else f"NULL AS {c}" for c in ("item_id", "store_id", "dept_id"))},
+            round(sum(label), 2) AS sum_one, {', '.join(f"round(sum(label * {x}), 2) AS sum_{c}" for c, x in _INPUT_SQL.items())}
+            FROM panel WHERE label IS NOT NULL GROUP BY {', '.join(keys)}"""
+            for name, keys in LEVELS.items()
+        )
+        + ")"
+    ),
+)
+def normal_equations_by_level(spark, sf_dir):
+    """Fitted values of the full models, summed against every input: least squares makes
+    these sums equal to those of the labels, and nothing else in its span does."""
+    known = stage(clean.known(stored_panel(spark, sf_dir)).withColumn("part", F.lit("train")), "known")
+    inputs = grouped.panel_inputs()
+    models = stage(grouped.weights_by_level(known, LEVELS, inputs, "label"), "weights")
+    tables = []
+    for name, keys in LEVELS.items():
+        own = models.where(F.col("level") == name).select(*keys, "weights", "intercept")
+        fitted = grouped.predictions_per_key(known, own, keys, inputs, PANEL_KEY)
+        sums = fitted.groupBy(*keys).agg(
+            F.round(F.sum("prediction"), 2).alias("sum_one"),
+            *[F.round(F.sum(F.col("prediction") * x), 2).alias(f"sum_{c}") for c, x in inputs.items()],
+        )
+        own_keys = [F.col(c) if c in keys else F.lit(None).cast("string").alias(c) for c in ("item_id", "store_id", "dept_id")]
+        tables.append(sums.select(F.lit(name).alias("level"), *own_keys, *[c for c in sums.columns if c not in keys]))
+    return union_tables(tables)
+
+
 def _train_and_test(spark, sf_dir):
     panel = stored_prepared_panel(spark, sf_dir, base_slot=True).where(F.col("label").isNotNull())
     return train_and_test(panel, PANEL_KEY)

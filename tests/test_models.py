@@ -15,7 +15,7 @@ from pyspark.ml.regression import (
 from pyspark.sql import functions as F
 
 from shelfcast.functions.columns import padded_number
-from shelfcast.operators import encoding, forest, grouped, training
+from shelfcast.operators import evaluate, encoding, forest, grouped, training
 from shelfcast.operators.models import fitted_line, linear
 from shelfcast.operators.sampling import with_part
 from shelfcast.operators.store import ModelStore
@@ -267,13 +267,97 @@ def test_forest_separates_classes(spark):
     df = df.withColumn("label", (F.col("x") >= 10).cast("double"))
     features = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
     model = forest.forest(max_depth=3, trees=5, seed=1).fit(features)
-    assert forest.accuracy(model.transform(features)) == 1.0
+    assert evaluate.accuracy(model.transform(features)) == 1.0
     assert forest.forest(max_depth=500).getMaxDepth() == 30
     assert forest.forest(max_depth=None).getMaxDepth() == 30
-    scores = forest.sweep(features, features, depths=[None, 1], trees=[1, 2], repeats=3).collect()
-    assert len(scores) == 4 * 3
-    assert all(r["score"] == 1.0 for r in scores if r["parameter"] == "max_depth")
-    assert {r["setting"]: r["capped"] for r in scores if r["parameter"] == "max_depth"} == {
-        "None": True,
-        "1": False,
-    }
+    settings = [forest.Setting("max_depth", str(d), d, 1, str(d)) for d in (None, 1)]
+    scores = forest.sweep(features.withColumn("id", F.monotonically_increasing_id()), ["id"], settings, 3).collect()
+    assert len(scores) == 2 * 3
+    assert all(r["score"] == 1.0 for r in scores)
+    assert {r["setting"]: r["capped"] for r in scores} == {"None": True, "1": False}
+
+
+def test_rank_and_weights_at_many_rows(spark):
+    """Repetition counts stand for 3e10 rows per key: years far from 0 keep their variance."""
+    rows = [
+        (k, "train", 2000 + y, 700 * y + 31 * m, m, 5.0 + 2 * y - 0.5 * m, 1e9)
+        for k in ("a", "b")
+        for y in range(5)
+        for m in range(6)
+    ]
+    rows += [("b", "train", 2004, 1, 3, 7.0, 1.0), ("b", "test", 2002, 1400, 0, 9.0, 1e9)]
+    df = spark.createDataFrame(rows, "k string, part string, year int, dn int, month int, label double, copies double")
+    inputs = {c: F.col(c) for c in ("year", "month")}
+    fitted = grouped.weights_per_key(df, ["k"], inputs, "label", F.col("copies"))
+    found = {r["k"]: r for r in fitted.collect()}
+    assert found["a"]["n_train"] == 30_000_000_000 and found["a"]["rank"] == 3
+    assert found["a"]["weights"] == pytest.approx([2.0, -0.5], abs=1e-9)
+    assert found["a"]["intercept"] == pytest.approx(5.0 - 4000.0, abs=1e-5)
+    assert found["b"]["rank"] == 3 and found["b"]["rmse"] == pytest.approx(0.0, abs=1e-6)
+    # one row among 3e10 lies off the plane of the year: its direction is still seen
+    lone = df.where("k = 'a'").select("k", "part", F.lit(2000).alias("year"), "month", "label", "copies")
+    lone = lone.unionByName(lone.limit(1).withColumns({"year": F.lit(2001), "copies": F.lit(1.0)}))
+    row = grouped.weights_per_key(lone, ["k"], inputs, "label", F.col("copies")).first()
+    assert row["rank"] == 3
+
+
+def test_hot_key_is_condensed_before_the_shuffle(spark, monkeypatch):
+    """A key with nearly all rows reaches its task as one state per slice and part."""
+    from shelfcast.operators import moments
+
+    rows = spark.range(0, 50_000, 1, 4).select(
+        F.when(F.col("id") % 100 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+        F.lit("train").alias("part"),
+        (F.col("id") % 97).cast("double").alias("x"),
+        (F.col("id") % 89).cast("double").alias("label"),
+    )
+    states = moments.row_states(rows, ["k"], [F.col("x"), F.col("label")])
+    sent = states.mapInArrow(moments._condense(["k", "part"], 2), states.schema)
+    counts = {r["k"]: r["count"] for r in sent.groupBy("k").count().collect()}
+    assert counts.pop("hot") <= 8 and set(counts.values()) == {1}
+    found = {r["k"]: r for r in grouped.weights_per_key(rows, ["k"], {"x": F.col("x")}, "label").collect()}
+    local = rows.where("k = 'hot'").toPandas()
+    slope, intercept = np.polyfit(local.x, local.label, 1)
+    assert found["hot"]["weights"][0] == pytest.approx(slope)
+    assert found["hot"]["intercept"] == pytest.approx(intercept)
+    assert len(found) == 501
+
+
+def test_levels_come_from_one_pass(spark, panel_rows):
+    """Rolled-up models equal models fitted on the rows themselves; null keys are a group."""
+    rows = panel_rows.withColumns(
+        {
+            "store_id": F.when(F.col("i") % 3 > 0, F.concat(F.lit("s"), F.col("i") % 3)),
+            "dept_id": F.when(F.col("item_id") > "a", "p").otherwise("q"),
+        }
+    )
+    levels = {"fine": ["item_id", "store_id"], "item": ["item_id"], "top": ["dept_id"]}
+    inputs = grouped.panel_inputs()
+    found = grouped.weights_by_level(rows, levels, inputs, "label").collect()
+    for name, keys in levels.items():
+        direct = grouped.weights_per_key(rows, keys, inputs, "label").collect()
+        rolled = {tuple(r[k] for k in keys): r for r in found if r["level"] == name}
+        assert len(direct) == len(rolled)
+        for r in direct:
+            other = rolled[tuple(r[k] for k in keys)]
+            assert (r["n_train"], r["n_test"], r["rank"], r["state"]) == tuple(
+                other[c] for c in ("n_train", "n_test", "rank", "state")
+            )
+            if r["rmse"] is not None:
+                assert other["rmse"] == pytest.approx(r["rmse"], rel=1e-6, abs=1e-9)
+    empty = grouped.weights_by_level(rows.limit(0), levels, inputs, "label")
+    assert empty.count() == 0
+
+
+def test_predictions_spread_a_frequent_key(spark, panel_rows, monkeypatch):
+    from shelfcast.operators import skew
+
+    day = {"dn": F.col("dn")}
+    models = grouped.weights_per_key(panel_rows, ["item_id"], day, "label")
+    rows = panel_rows.select("item_id", "i", "dn").unionByName(
+        spark.createDataFrame([("new", -1, 5), ("h", -2, None)], "item_id string, i long, dn int")
+    )
+    plain = {(r["item_id"], r["i"]): r["prediction"] for r in grouped.predictions_per_key(rows, models, ["item_id"], day, ["i"]).collect()}
+    monkeypatch.setattr(skew, "PLAIN_LOOKUP_ROWS", 0)
+    split = {(r["item_id"], r["i"]): r["prediction"] for r in grouped.predictions_per_key(rows, models, ["item_id"], day, ["i"]).collect()}
+    assert plain == split and plain["new", -1] is None and plain["h", -2] is None
