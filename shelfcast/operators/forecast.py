@@ -50,8 +50,51 @@ def day_matrix(df: DataFrame, keys: Sequence[str], day: str, value: str, days: S
     return df.groupBy(*keys).agg(*cells)
 
 
-def horizon_matrix(predictions: DataFrame, horizon: Horizon) -> DataFrame:
-    """Forecast table of one horizon."""
+def day_vectors(df: DataFrame, keys: Sequence[str], day: str, value: str) -> DataFrame:
+    """``days`` per key: an array of ``day`` and ``value``, in day order, without the days
+    that have no row. One row per key and day is expected; a key holds one entry a day.
+
+    The array is as long as the key has days, so a table over thousands of days stays as
+    small as its rows, and no plan has an expression per day.
+    """
+    entry = F.struct(F.col(day).cast("int").alias("day"), F.col(value).alias("value"))
+    return df.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("days"))
+
+
+def wide_days(vectors: DataFrame, first: int, last: int, prefix: str = "d_") -> DataFrame:
+    """One column per day ``first``..``last`` from ``day_vectors``; null where there is none.
+
+    The vector becomes dense by putting as many nulls before every entry as days are
+    missing, in one pass over it; a column then is one array position. A day outside
+    ``first``..``last`` has no column: such a row raises an error.
+    """
+    inside = F.forall("days", lambda e: (e["day"] >= first) & (e["day"] <= last))
+    outside = F.raise_error(F.lit(f"a day lies outside {first}..{last}"))
+    checked = F.when(inside, F.col("days")).otherwise(outside.cast(vectors.schema["days"].dataType))
+    values = vectors.schema["days"].dataType.elementType["value"].dataType
+    gap = F.lit(None).cast(values)
+
+    def filled(entry, at):
+        before = F.when(at > 0, F.element_at("_days", at)["day"]).otherwise(F.lit(first - 1))
+        nulls = F.array_repeat(gap, entry["day"] - before - 1)
+        return F.concat(nulls, F.array(entry["value"]))
+
+    dense = F.flatten(F.transform("_days", filled))
+    spread = vectors.withColumn("_days", checked).withColumn("_dense", dense)
+    columns = [F.get("_dense", F.lit(d - first)).alias(f"{prefix}{d}") for d in range(first, last + 1)]
+    return spread.select(*[c for c in vectors.columns if c != "days"], *columns)
+
+
+def horizon_matrix(predictions: DataFrame, horizon: Horizon, last_day: int | None = None) -> DataFrame:
+    """Forecast table of one horizon.
+
+    ``last_day`` is the last day that any horizon of the caller covers, this one's last
+    without it. A later day has no column in any table: such a row raises an error.
+    """
+    last = horizon.cut + DAYS if last_day is None else last_day
+    outside = F.raise_error(F.concat(F.lit("no horizon holds day "), F.col("dn").cast("string")))
+    day = F.when(F.col("dn") > last, outside.cast("int")).otherwise(F.col("dn"))
+    predictions = predictions.withColumn("dn", day)
     rows = whole_units(horizon_rows(predictions, horizon)).select(
         joined_id(["item_id", "store_id"], horizon.suffix).alias("id"),
         horizon_offset("dn", horizon.cut).alias("offset"),

@@ -22,6 +22,7 @@ from shelfcast.sources.panel import rows_to_predict, sales_panel
 
 VALIDATION = forecast.Horizon("validation", VALIDATION_CUT)
 EVALUATION = forecast.Horizon("evaluation", EVALUATION_CUT)
+LAST_DAY = EVALUATION_CUT + forecast.DAYS
 
 
 def delivered_predictions(spark, sf_dir):
@@ -49,12 +50,12 @@ def _both_sql(prediction: str, source: str) -> str:
 
 @register("pivot_validation", over_panel(" " + _matrix_sql(VALIDATION, "Sales_Pred", "panel")))
 def pivot_validation(spark, sf_dir):
-    return forecast.horizon_matrix(delivered_predictions(spark, sf_dir), VALIDATION)
+    return forecast.horizon_matrix(delivered_predictions(spark, sf_dir), VALIDATION, LAST_DAY)
 
 
 @register("pivot_evaluation", over_panel(" " + _matrix_sql(EVALUATION, "Sales_Pred", "panel")))
 def pivot_evaluation(spark, sf_dir):
-    return forecast.horizon_matrix(delivered_predictions(spark, sf_dir), EVALUATION)
+    return forecast.horizon_matrix(delivered_predictions(spark, sf_dir), EVALUATION, LAST_DAY)
 
 
 @register("submission_matrix", over_panel(" " + _both_sql("Sales_Pred", "panel")))
@@ -65,7 +66,7 @@ def submission_matrix(spark, sf_dir):
 @register("union_horizons", over_panel(" " + _both_sql("Sales_Pred", "panel")))
 def union_horizons(spark, sf_dir):
     predictions = delivered_predictions(spark, sf_dir)
-    tables = [forecast.horizon_matrix(predictions, h) for h in (VALIDATION, EVALUATION)]
+    tables = [forecast.horizon_matrix(predictions, h, LAST_DAY) for h in (VALIDATION, EVALUATION)]
     return forecast.union_tables(tables).orderBy(F.col("id").endswith(f"_{EVALUATION.suffix}"), "id")
 
 

@@ -66,6 +66,42 @@ _register_regression("glr_poisson_log", lambda: _glr("poisson", "log"))
 _register_regression("gbt_regression", lambda: GBTRegressor(maxIter=10, seed=SPLIT_SEED), linear=False)
 
 
+# Columns whose categories are inputs of the registered models, besides the hashed items.
+_CATEGORIES = ["dept_id", "store_id", "wday"]
+
+
+def _register_equations(name: str, family: str, link: str, weighed: bool) -> None:
+    """The score equations of a fit on all inputs, which fix it without fitting it again.
+
+    With a canonical link the fitted values of every category sum to its labels. With the
+    poisson family and the identity link the ratios of label and fitted value sum to the
+    number of rows.
+    """
+    expected = "count(*)" if weighed else "sum(label)"
+    parts = " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n_train,
+        round(CAST({expected} AS DOUBLE), 0) AS total FROM panel WHERE label IS NOT NULL GROUP BY {c}"""
+        for c in _CATEGORIES
+    )
+
+    @register(name, over_panel(f" SELECT * FROM ({parts})"))
+    def query(spark, sf_dir):
+        panel = stored_prepared_panel(spark, sf_dir, base_slot=True)
+        train = panel.where(F.col("label").isNotNull()).select(*_CATEGORIES, "features", "label")
+        fitted = training.fit_persisted(_glr(family, link), train).transform(train)
+        term = F.col("label") / F.col("prediction") if weighed else F.col("prediction")
+        named = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in _CATEGORIES]
+        terms = fitted.select(F.inline(F.array(*named)), term.alias("term"))
+        return terms.groupBy("column_name", "value").agg(
+            F.count("*").alias("n_train"), F.round(F.sum("term"), 0).alias("total")
+        )
+
+
+_register_equations("glr_gaussian_equations", "gaussian", "identity", weighed=False)
+_register_equations("glr_poisson_log_equations", "poisson", "log", weighed=False)
+_register_equations("glr_poisson_identity_equations", "poisson", "identity", weighed=True)
+
+
 def _register_by_store(name: str, family: str, link: str) -> None:
     """With the store as only input, every family and link predicts the store's mean."""
 
@@ -279,23 +315,25 @@ def normal_equations_by_level(spark, sf_dir):
 
 def _train_and_test(spark, sf_dir):
     panel = stored_prepared_panel(spark, sf_dir, base_slot=True).where(F.col("label").isNotNull())
-    return train_and_test(panel, PANEL_KEY)
+    train, test = train_and_test(panel, PANEL_KEY)
+    return training.with_search_part(train, PANEL_KEY), test
 
 
-@register("leaderboard")
-def leaderboard(spark, sf_dir):
+def _board(spark, sf_dir, searched: bool):
     store = ModelStore(spark, fresh_path(spark, "models"))
-    candidates = [c for c in training.standard_candidates() if c.model_id in ("glrgi", "gbtr")]
-    results = training.train_all(candidates, *_train_and_test(spark, sf_dir), store)
+    train, test = _train_and_test(spark, sf_dir)
+    results = training.train_all(training.standard_candidates(), train, test, store, searched=searched)
     return training.leaderboard(spark, results)
 
 
+@register("leaderboard")
+def leaderboard(spark, sf_dir):
+    return _board(spark, sf_dir, searched=False)
+
+
 @register("tuned_training")
 def tuned_training(spark, sf_dir):
-    store = ModelStore(spark, fresh_path(spark, "models"))
-    candidates = [c for c in training.standard_candidates() if c.model_id == "glrgi"]
-    results = training.train_all(candidates, *_train_and_test(spark, sf_dir), store, searched=True)
-    return training.leaderboard(spark, results)
+    return _board(spark, sf_dir, searched=True)
 
 
 # With one 0/1 input every family, link and tree predicts the mean of its side, so the
@@ -314,6 +352,7 @@ def _flag_scores(spark, sf_dir, candidates, searched=False):
     flagged = VectorAssembler(inputCols=["snap"], outputCol="features").transform(known)
     store = ModelStore(spark, fresh_path(spark, "models"))
     train, test = train_and_test(flagged, PANEL_KEY)
+    train = training.with_search_part(train, PANEL_KEY)
     results = training.train_all(candidates, train, test, store, searched=searched)
     return training.leaderboard(spark, results).select("model_id", F.round("rmse", 4).alias("rmse"), "state")
 

@@ -10,11 +10,13 @@ from shelfcast.plans.registry import PANEL_FIELDS, over_panel, over_rated, regis
 from shelfcast.plans.totals import TOP_CELLS_SQL
 from shelfcast.scratch import fresh_path
 from shelfcast.sources import scans, sinks
-from shelfcast.sources.panel import known_rows, labelled_panel, rated_documents, sales_panel
+from shelfcast.sources.panel import HISTORY_END, known_rows, labelled_panel, rated_documents, sales_panel
 from shelfcast.sources.schema import LABELLED_SCHEMA, PANEL_SCHEMA, numbered_names
 
-# Day columns of the wide table.
-WIDE_DAYS = (1, 15)
+# The wide table has a column for every day of the history; fixed value: the columns that
+# the two readers of a part of it select.
+FIRST_DAY, LAST_DAY = 1, HISTORY_END
+SELECTED_DAYS = (1, 15)
 
 
 def _panel_csv(spark, sf_dir) -> str:
@@ -116,39 +118,59 @@ def materialize_once(spark, sf_dir):
 
 
 def _wide_csv(spark, sf_dir) -> str:
-    """One row per item and store, one column per day, as CSV."""
-    panel = sales_panel(spark, sf_dir)
-    days = range(WIDE_DAYS[0], WIDE_DAYS[1] + 1)
-    wide = forecast.day_matrix(panel, ["item_id", "store_id", "dept_id"], "dn", "sales", days)
-    names = dict(zip(numbered_names("F", *WIDE_DAYS), numbered_names("d_", *WIDE_DAYS)))
+    """One row per item and store, one column per day of the history, as CSV."""
+    keys = ["item_id", "store_id", "dept_id"]
+    vectors = forecast.day_vectors(known_rows(spark, sf_dir), keys, "dn", "sales")
     path = fresh_path(spark, "wide-csv")
-    sinks.write_csv(wide.withColumnsRenamed(names), path)
+    sinks.write_csv(forecast.wide_days(vectors, FIRST_DAY, LAST_DAY), path)
     return path
 
 
 _WIDE_SQL = ", ".join(
     f"CAST(SUM(sales) FILTER (WHERE dn = {d}) AS VARCHAR) AS d_{d}"
-    for d in range(WIDE_DAYS[0], WIDE_DAYS[1] + 1)
+    for d in range(SELECTED_DAYS[0], SELECTED_DAYS[1] + 1)
 )
+_WIDE_ROWS = "FROM panel WHERE sales IS NOT NULL GROUP BY item_id, store_id"
+
+
+@register("wide_day_columns", over_panel(f" SELECT item_id, store_id, {_WIDE_SQL} {_WIDE_ROWS}"))
+def wide_day_columns(spark, sf_dir):
+    wide = scans.read_csv_strings(spark, _wide_csv(spark, sf_dir))
+    return wide.select("item_id", "store_id", *numbered_names("d_", *SELECTED_DAYS))
 
 
 @register(
-    "wide_day_columns",
-    over_panel(f" SELECT item_id, store_id, {_WIDE_SQL} FROM panel GROUP BY item_id, store_id"),
+    "wide_day_totals",
+    over_panel(
+        f""" SELECT item_id, store_id, sum(sales) AS units, CAST(count(*) AS INTEGER) AS n_days,
+        min(dn) AS first_day, max(dn) AS last_day, CAST({HISTORY_END} AS INTEGER) AS n_columns {_WIDE_ROWS}"""
+    ),
 )
-def wide_day_columns(spark, sf_dir):
+def wide_day_totals(spark, sf_dir):
+    """Every day column of the wide file, read back and added up."""
     wide = scans.read_csv_strings(spark, _wide_csv(spark, sf_dir))
-    return wide.select("item_id", "store_id", *numbered_names("d_", *WIDE_DAYS))
+    days = F.array(*numbered_names("d_", FIRST_DAY, LAST_DAY))
+    numbers = wide.select("item_id", "store_id", F.transform(days, lambda v: v.cast("double")).alias("days"))
+    sold = F.transform("days", lambda v, i: F.when(v.isNotNull(), i + FIRST_DAY))
+    return numbers.select(
+        "item_id",
+        "store_id",
+        F.aggregate("days", F.lit(0.0), lambda a, v: a + F.coalesce(v, F.lit(0.0))).alias("units"),
+        F.size(F.array_compact("days")).alias("n_days"),
+        F.array_min(sold).alias("first_day"),
+        F.array_max(sold).alias("last_day"),
+        F.size("days").alias("n_columns"),
+    )
 
 
 @register(
     "sort_hidden_columns",
     over_panel(
-        f""" SELECT {', '.join(f'd_{d}' for d in range(WIDE_DAYS[0], WIDE_DAYS[1] + 1))}
-        FROM (SELECT item_id, store_id, {_WIDE_SQL} FROM panel GROUP BY item_id, store_id)
+        f""" SELECT {', '.join(f'd_{d}' for d in range(SELECTED_DAYS[0], SELECTED_DAYS[1] + 1))}
+        FROM (SELECT item_id, store_id, {_WIDE_SQL} {_WIDE_ROWS})
         ORDER BY item_id, store_id"""
     ),
 )
 def sort_hidden_columns(spark, sf_dir):
     wide = scans.read_csv_strings(spark, _wide_csv(spark, sf_dir))
-    return wide.select(numbered_names("d_", *WIDE_DAYS)).orderBy("item_id", "store_id")
+    return wide.select(numbered_names("d_", *SELECTED_DAYS)).orderBy("item_id", "store_id")

@@ -37,6 +37,29 @@ def test_days_after_the_last_horizon_raise(spark):
         forecast.forecast_table(late, horizons).collect()
 
 
+def test_horizon_matrix_raises_after_the_last_day(spark):
+    horizon = forecast.Horizon("v", 10)
+    rows = spark.createDataFrame([("i", "s", 39, 2.0)], "item_id string, store_id string, dn int, prediction double")
+    with pytest.raises(Exception, match="no horizon holds day 39"):
+        forecast.horizon_matrix(rows, horizon).collect()
+    # a later horizon's day is left to that horizon
+    assert forecast.horizon_matrix(rows, horizon, last_day=66).collect() == []
+
+
+def test_wide_days_from_sparse_vectors(spark):
+    rows = [("a", 1, 5.0), ("a", 4, 7.0), ("b", 3, None), ("c", 1, 1.0), ("c", 2, 2.0), ("c", 4, 0.0)]
+    df = spark.createDataFrame(rows, "k string, dn int, v double").repartition(3)
+    wide = forecast.wide_days(forecast.day_vectors(df, ["k"], "dn", "v"), 1, 5)
+    assert wide.columns == ["k", "d_1", "d_2", "d_3", "d_4", "d_5"]
+    assert sorted(map(tuple, wide.collect())) == [
+        ("a", 5.0, None, None, 7.0, None),
+        ("b", None, None, None, None, None),
+        ("c", 1.0, 2.0, None, 0.0, None),
+    ]
+    with pytest.raises(Exception, match="a day lies outside 2..5"):
+        forecast.wide_days(forecast.day_vectors(df, ["k"], "dn", "v"), 2, 5).collect()
+
+
 def test_day_matrix_equals_pivot(spark):
     rows = spark.createDataFrame(FORECAST_ROWS * 3, PREDICTION_SCHEMA)
     keys = ["item_id", "store_id"]

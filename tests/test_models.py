@@ -150,15 +150,35 @@ def test_train_all_scores_stores_and_survives_failures(spark, plane, tmp_path):
 
 
 def test_search_picks_the_unregularized_intercept(spark, plane):
-    candidate = training.Candidate(
-        "glr", "plane", GeneralizedLinearRegression(), training.linear_grid
-    )
-    result = training.train_one(candidate, plane, plane, searched=True)
+    candidate = training.Candidate("glr", "plane", GeneralizedLinearRegression(), training.LINEAR_GRID)
+    keyed = training.with_search_part(plane.withColumn("id", F.monotonically_increasing_id()), ["id"])
+    result = training.train_one(candidate, keyed, plane, searched=True)
     assert result.state == "OK"
     assert result.model.getFitIntercept() and result.model.getRegParam() == 0.01
-    assert len(training.linear_grid(GeneralizedLinearRegression())) == 4
-    assert len(training.tree_grid(GBTRegressor())) == 4
-    assert training.single_point_grid(GBTRegressor()) == [{}]
+    assert len(candidate.points()) == 4
+    trees = training.Candidate("t", "t", GBTRegressor(), training.TREE_GRID)
+    assert len(trees.points()) == 4
+    assert training.Candidate("own", "own", GBTRegressor()).points() == [{}]
+
+
+def test_search_equals_a_loop_by_hand(spark, plane):
+    """Every point's error is that of a model fitted and scored on rows picked on the driver."""
+    keyed = training.with_search_part(plane.withColumn("id", F.monotonically_increasing_id()), ["id"]).persist()
+    rows = keyed.select("features", "label", "search_part").collect()
+    sides = {
+        side: spark.createDataFrame([(r[0], r[1]) for r in rows if r[2] == side], ["features", "label"])
+        for side in ("fit", "validate")
+    }
+    candidate = training.Candidate("glr", "plane", GeneralizedLinearRegression(), training.LINEAR_GRID)
+    for point, score in training.search_scores(candidate, keyed):
+        by_hand = {p.name: v for p, v in point.items()}
+        model = GeneralizedLinearRegression(**by_hand).fit(sides["fit"])
+        assert score == pytest.approx(evaluate.rmse(model.transform(sides["validate"])))
+    again = training.with_search_part(keyed.drop("search_part").repartition(5), ["id"])
+    assert {tuple(r) for r in again.select("id", "search_part").collect()} == {
+        tuple(r) for r in keyed.select("id", "search_part").collect()
+    }
+
 
 
 def test_standard_candidates(spark):
