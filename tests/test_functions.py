@@ -73,7 +73,7 @@ def test_forecast_table_equals_union_of_horizons(spark):
     predictions = spark.createDataFrame(rows, PREDICTION_SCHEMA)
     horizons = [forecast.Horizon("validation", 0), forecast.Horizon("evaluation", 28)]
     together = forecast.forecast_table(predictions, horizons)
-    apart = forecast.union_tables([forecast.horizon_matrix(predictions, h) for h in horizons])
+    apart = forecast.union_tables([forecast.horizon_matrix(predictions, h, last_day=56) for h in horizons])
     assert together.columns == apart.columns
     assert {tuple(r) for r in together.collect()} == {tuple(r) for r in apart.collect()}
     total = sum(sum(v for v in r[1:] if v is not None) for r in together.collect() if r[0])
