@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import bit_search, byte_pairs, cap_links, line_spread, piece_scan, shingle_join, site_quality, source_mix, suffix_dedup, token_links, toxic_spans, url_rules
+from shelfcast.llm import bit_search, byte_pairs, cap_links, line_spread, mask_search, piece_scan, shingle_join, site_quality, source_mix, suffix_dedup, token_links, toxic_spans, url_rules
 
 QUERIES = {
     "op1_embedding_dedup": cap_links.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_site_quality": site_quality.query,
     "op9_sentencepiece": piece_scan.query,
     "op10_source_mix": source_mix.query,
+    "op11_mask_search": mask_search.query,
     "op12_token_links": token_links.query,
     "op13_byte_pairs": byte_pairs.query,
 }
@@ -22,4 +23,5 @@ QUERIES = {
 SQL = {
     "op5_line_dedup": line_spread.ORACLE_SQL,
     "op6_url_filters": url_rules.ORACLE_SQL,
+    "op11_mask_search": mask_search.ORACLE_SQL,
 }
