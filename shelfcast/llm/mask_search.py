@@ -186,6 +186,9 @@ def _round(docs: DataFrame, asked: DataFrame, top: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in _held(batches):
+            held = held.filter(held["doc_id"].is_valid())
+            if not held.num_rows:
+                continue
             columns = [held[c].combine_chunks() for c in ("doc_id", "n", "terms", "tfs")]
             block = Block(columns[0].to_numpy(), columns[1].to_numpy(), *columns[2:], weights, n_docs, n_terms)
             for item, own in per_item.items():
@@ -221,8 +224,8 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP, terms_at_once: int
     have no result. Every row of ``docs`` is a document, so a repeated id can have several
     ranks; rows of one item are one item with the terms of all. Texts of any length are
     searched whole. Items beyond ``terms_at_once`` terms are answered in rounds, each item
-    in one. Empty tables give an empty result; further columns are not read. A null doc_id
-    or item_id takes part as an id of its own would, and is left out of the result.
+    in one. Empty tables give an empty result; further columns are not read. Documents with
+    a null id take part in the counts only; items with a null id are left out.
     """
     asked = stage(item_terms(items.where("item_id IS NOT NULL")), "item-terms")
     rounds = -(-asked.count() // terms_at_once)
@@ -232,7 +235,7 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP, terms_at_once: int
         part = _round(docs, asked.where(spread == k), top)
         found = part if found is None else found.unionAll(part)
     order = Window.partitionBy("item_id").orderBy(F.desc("score"), "doc_id")
-    ranked = found.where("doc_id IS NOT NULL").withColumn("rank", F.row_number().over(order))
+    ranked = found.withColumn("rank", F.row_number().over(order))
     return ranked.where(F.col("rank") <= top).select("item_id", "rank", "doc_id", "score")
 
 

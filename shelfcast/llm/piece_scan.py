@@ -3,8 +3,12 @@
 An encoding is the path of pieces with the largest sum of scores through a text. Giant
 documents are cut into chunks at fixed places. A piece may reach over a chunk's end, so
 the state between chunks is by how many characters it does. A chunk is then a matrix of
-best scores from state to state; matrices combine by (max, +), which is associative, and
-once the states are known every chunk is traced back on its own.
+best scores from state to state; matrices combine by (max, +), and once the states are
+known every chunk is traced back on its own.
+
+Scores of this kind are whole numbers, and many paths tie. Every piece therefore adds a small number
+drawn from its place in its word and its length. Sums then tell tied paths apart in the
+same way wherever a text is cut, so ids do not depend on the chunks.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from shelfcast.llm.common import documents, each_batch, give_back, stage
+from shelfcast.llm.common import documents, each_batch, give_back, key_groups, stage
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 16_384
@@ -26,6 +30,13 @@ WORDS_KEPT = 60_000
 CHARS_AT_ONCE = 500_000
 DENSE = 255
 
+# A sum is a complex number, which numpy orders by its real part first: the score, and then
+# what breaks ties. Scores are multiples of 1 / SCORE_PARTS, so both sums are exact.
+SCORE_PARTS = 1024
+TIE_PLACES = 4096
+TIE_BELOW = 1 << 24
+NONE = complex(-np.inf, 0.0)
+
 
 def read_vocabulary(path: str = MODEL_PATH) -> tuple[tuple[str, float, int], ...]:
     """(piece, score, byte value or -1) by id; control and unknown pieces are empty."""
@@ -55,7 +66,9 @@ class Pieces:
         self.score = np.array([r[1] for r in rows])
         normal = [(p, i) for i, (p, _, _) in enumerate(rows) if p]
         self.longest = max(len(p) for p, _ in normal)
+        self.score = np.rint(self.score * SCORE_PARTS) / SCORE_PARTS
         self.unknown = min(self.score[i] for _, i in normal) - 10.0
+        self.tie = np.random.default_rng(0).integers(0, TIE_BELOW, (TIE_PLACES, self.longest + 1)).astype(float)
         self.byte_id = np.zeros(256, np.int32)
         self.byte_value = np.array([r[2] for r in rows])
         data = []
@@ -151,8 +164,12 @@ class Pieces:
         parts.append((lone, np.ones(len(lone), np.int32), np.full(len(lone), -1, np.int32)))
         return tuple(np.concatenate(x) for x in zip(*parts))
 
-    def edge_scores(self, ids):
-        return np.where(ids >= 0, self.score[ids], self.unknown)
+    def edge_scores(self, ids, place, length):
+        """What pieces add to a path: their score, and a number of their place in the word."""
+        out = np.empty(len(ids), np.complex128)
+        out.real = np.where(ids >= 0, self.score[ids], self.unknown)
+        out.imag = self.tie[place % TIE_PLACES, length]
+        return out
 
     def solve(self, words: list[str]):
         """Ids of the best path of each word: one array, and where each word's begin."""
@@ -168,11 +185,11 @@ class Pieces:
             step = step.astype(np.uint16)
         order = np.argsort(step, kind="stable")
         start, length, ids, word, step = (x[order] for x in (start, length, ids, word, step))
-        score = self.edge_scores(ids)
+        score = self.edge_scores(ids, start - begins[word], length)
         # a word of n characters has n + 1 places
         source = start + word
         del word, order
-        best = np.full(len(codes) + len(words), -np.inf)
+        best = np.full(len(codes) + len(words), NONE)
         back = np.full(len(best), -1, np.int32)
         best[begins + np.arange(len(words))] = 0.0
         group = np.nonzero(step[1:] != step[:-1])[0] + 1
@@ -232,38 +249,54 @@ class Pieces:
         raw = gathered(self.bytes, self.bytes_at, np.asarray(ids, np.int64)).tobytes()
         return raw[1:].decode("utf-8", errors="replace")
 
-    def matrix(self, window: str, inside: int) -> np.ndarray:
-        """Transfer matrix of a chunk of ``inside`` characters, of which ``window`` has
-        some more: best score from ``i`` characters in to ``j`` characters beyond.
+    def chunk(self, window: str, inside: int, begun: int) -> dict:
+        """What a chunk of ``inside`` characters, of which ``window`` has some more, hands
+        on: its transfer matrix, the ids between its first and last place between words,
+        and the stretches before and after these. ``begun`` characters of its first word
+        lie in earlier chunks.
 
-        All paths pass the places between words, so what lies between the first and the
-        last of these is one number. Entries beyond the first place cannot occur.
+        The matrix has the best sum from ``i`` characters in to ``j`` characters beyond, up
+        to one number that all its entries share: all paths pass the places between words,
+        so what lies between the first and the last is the same for all. A chunk without
+        such a place is one stretch.
         """
         first, last = self._places(window, inside)
         if first is None:
-            return self._lanes(window, inside)[0]
-        head = self._lanes(window[:first], first)[0][:, 0]
-        tail = self._lanes(window[last:], inside - last)[0][0]
-        middle = self._total(self.encode_words(window[first:last]))
-        return head[:, None] + middle + tail[None, :]
-
-    def trace(self, window: str, inside: int, came: int, left: int) -> np.ndarray:
+            matrix = self._lanes(window, inside, begun)[0]
+            return {"matrix": matrix, "head": window, "n_head": inside, "tail": "", "n_tail": -1, "middle": self.ids[:0]}
+        head = self._lanes(window[:first], first, begun)[0][:, 0]
+        tail = self._lanes(window[last:], inside - last, 0)[0][0]
+        return {
+            "matrix": head[:, None] + tail[None, :],
+            "head": window[:first],
+            "n_head": first,
+            "tail": window[last:],
+            "n_tail": inside - last,
+            "middle": self.encode_words(window[first:last]),
+        }
+
+    def trace(self, head, n_head, tail, n_tail, begun, middle, came: int, left: int) -> np.ndarray:
         """Ids of a chunk's pieces, from ``came`` characters in to ``left`` beyond."""
-        first, last = self._places(window, inside)
-        if first is None:
-            return self._traced(window, inside, came, left)
+        if n_tail < 0:
+            return self._traced(head, n_head, begun, came, left)
         return np.concatenate(
-            [
-                self._traced(window[:first], first, came, 0),
-                self.encode_words(window[first:last]),
-                self._traced(window[last:], inside - last, 0, left),
-            ]
+            [self._traced(head, n_head, begun, came, 0), middle, self._traced(tail, n_tail, 0, 0, left)]
         )
 
     def encode_words(self, text: str) -> np.ndarray:
         """Ids of a stretch that begins at a blank, which is its own first blank."""
         return self.encode([text[1:]])[0] if text[1:] else self.solve([text])[0] if text else self.ids[:0]
 
+    def begun(self, text: str, cuts) -> list[int]:
+        """How many characters before each cut its word began."""
+        if not self.words_apart:
+            return list(cuts)
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        blank = codes == ord(" ")
+        starts = np.nonzero(blank & ~np.concatenate([[False], blank[:-1]]))[0]
+        at = np.searchsorted(starts, np.array(cuts), "right") - 1
+        return [int(c - starts[k]) if k >= 0 else int(c) for c, k in zip(cuts, at)]
+
     def _places(self, window, inside):
         """First and last place between words inside the chunk, or None twice."""
         if not self.words_apart:
@@ -271,22 +304,22 @@ class Pieces:
         found = [m.start() for m in re.finditer("(?<=[^ ]) ", window[:inside])]
         return (found[0], found[-1]) if found else (None, None)
 
-    def _total(self, ids):
-        """Score of ids; characters written as bytes count once, at their first byte."""
-        value = self.byte_value[ids]
-        heads = (value >= 0) & ((value < 0x80) | (value >= 0xC0))
-        return float(self.score[ids][value < 0].sum() + self.unknown * heads.sum())
-
-    def _lanes(self, window, inside):
-        """Best scores by entry and exit of a stretch, and what to trace back from."""
+    def _lanes(self, window, inside, begun):
+        """Best sums by entry and exit of a stretch, and what to trace back from."""
         size = self.longest
         codes = np.frombuffer(window.encode("utf-32-le"), np.uint32)
         limit = np.where(np.arange(len(codes)) < inside, len(codes), 0)
         start, length, ids = self.edges(codes, limit)
         order = np.argsort(start, kind="stable")
         start, length, ids = start[order], length[order], ids[order]
-        score = self.edge_scores(ids)
-        best = np.full((inside + size, size), -np.inf)
+        place = np.arange(len(codes)) + begun
+        if self.words_apart:
+            blank = codes == ord(" ")
+            starts = np.nonzero(blank[1:] & ~blank[:-1])[0] + 1
+            word = np.searchsorted(starts, np.arange(len(codes)), "right")
+            place = np.where(word > 0, np.arange(len(codes)) - np.concatenate([[0], starts])[word], place)
+        score = self.edge_scores(ids, place[start], length)
+        best = np.full((inside + size, size), NONE)
         back = np.full((inside + size, size), -1, np.int64)
         lanes = np.arange(min(size, inside + size))
         best[lanes, lanes] = 0.0
@@ -300,8 +333,8 @@ class Pieces:
                 back[to, better] = e
         return best[inside : inside + size].T.copy(), (start, ids, codes, back)
 
-    def _traced(self, window, inside, came, left):
-        _, (start, ids, codes, back) = self._lanes(window, inside)
+    def _traced(self, window, inside, begun, came, left):
+        _, (start, ids, codes, back) = self._lanes(window, inside, begun)
         at, chosen = inside + left, []
         while at > came:
             e = back[at, came]
@@ -330,14 +363,18 @@ def combined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def boundary_states(matrices: list[np.ndarray]) -> list[int]:
     """States before, between and after the chunks on the best path.
 
-    Products of all beginnings and all ends are taken by scans; a boundary's state is where
-    their sum is largest. The last chunk must end exactly.
+    One pass takes the first row of the products of all beginnings, so a chunk costs a row
+    times a matrix; the way back picks at each boundary the state that the best end came
+    from. Rows are brought down to their largest entry, so that sums stay small in texts of
+    any length. The last chunk must end exactly.
     """
     size = len(matrices[0])
-    front = [np.full((1, size), -np.inf)]
-    front[0][0, 0] = 0.0
+    row = np.full((1, size), NONE)
+    row[0, 0] = 0
+    front = [row]
     for m in matrices:
-        front.append(combined(front[-1], m))
+        row = combined(front[-1], m)
+        front.append(row - row.max())
     states, at = [0], 0
     for m, f in zip(reversed(matrices), reversed(front[:-1])):
         at = int(np.argmax(f[0] + m[:, at]))
@@ -345,10 +382,10 @@ def boundary_states(matrices: list[np.ndarray]) -> list[int]:
     return states[::-1]
 
 
-@lru_cache(maxsize=1)
-def pieces(rows, encodes: bool = True) -> Pieces:
+@lru_cache(maxsize=2)
+def pieces(path: str, encodes: bool = True) -> Pieces:
     """The vocabulary's arrays, built once in each worker; decoding needs no trie."""
-    return Pieces(rows, encodes)
+    return Pieces(read_vocabulary(path), encodes)
 
 
 def _in_parts(texts: pa.Array) -> Iterator[list[str]]:
@@ -374,15 +411,15 @@ def encode(docs: DataFrame, model_path: str = MODEL_PATH, chunk: int = CHUNK) ->
     """``doc_id`` and ``ids`` of every row of ``docs``.
 
     A blank is put before the text, as the model asks. Null and empty texts have no ids.
-    Ties between paths go to the piece found first, the same in every run. Repeated rows
-    have equal results. Texts above ``chunk`` characters are cut, at any place, and their
-    chunks are spread over tasks. Further columns are not read.
+    Ties between paths are broken by where pieces stand in their words, the same in every
+    run and at any ``chunk``. Repeated rows have equal results. Texts above ``chunk``
+    characters are cut, at any place, and their chunks are spread over tasks. Further
+    columns are not read.
     """
-    rows = read_vocabulary(model_path)
     docs = docs.select("doc_id", "text")
 
     def whole(batches):
-        coder = pieces(rows)
+        coder = pieces(model_path)
         for batch in batches:
             done = 0
             for part in _in_parts(batch["text"]):
@@ -394,13 +431,13 @@ def encode(docs: DataFrame, model_path: str = MODEL_PATH, chunk: int = CHUNK) ->
 
     long = F.length("text") > chunk
     small = docs.where(~F.coalesce(long, F.lit(False))).mapInArrow(whole, "doc_id long, ids array<int>")
-    return small.unionAll(_encode_giants(docs.where(long), rows, chunk))
+    return small.unionAll(_encode_giants(docs.where(long), model_path, chunk))
 
 
-def _encode_giants(docs: DataFrame, rows, chunk: int) -> DataFrame:
+def _encode_giants(docs: DataFrame, path: str, chunk: int) -> DataFrame:
     def split(batches):
         for batch in batches:
-            coder = pieces(rows)
+            coder = pieces(path)
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
                 text = " " + text
                 cuts = range(0, len(text), chunk)
@@ -410,55 +447,67 @@ def _encode_giants(docs: DataFrame, rows, chunk: int) -> DataFrame:
                         pa.array([doc_id] * len(windows), pa.int64()),
                         pa.array(range(len(windows)), pa.int32()),
                         pa.array([min(chunk, len(text) - c) for c in cuts], pa.int32()),
+                        pa.array(coder.begun(text, cuts), pa.int32()),
                         pa.array(windows),
                     ],
-                    ["doc_id", "chunk", "inside", "window"],
+                    ["doc_id", "chunk", "inside", "begun", "window"],
                 )
 
     # rows may share an id: a name of id and text stands for it until the end
     docs = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("doc_id", "text").alias("doc_id"), "text")
-    kind = "doc_id long, chunk int, inside int, window string"
-    chunks = stage(docs.select("doc_id", "text").distinct().mapInArrow(split, kind), "chunks")
-    shuffled = chunks.repartition("doc_id", "chunk")
+    kind = "doc_id long, chunk int, inside int, begun int, window string"
+    chunks = docs.select("doc_id", "text").distinct().mapInArrow(split, kind).repartition("doc_id", "chunk")
 
     def transfer(batch):
-        coder = pieces(rows)
-        made = [
-            coder.matrix(w, n).tobytes() for w, n in zip(batch["window"].to_pylist(), batch["inside"].to_pylist())
-        ]
+        coder = pieces(path)
+        fields = zip(*(batch[c].to_pylist() for c in ("window", "inside", "begun")))
+        made = [coder.chunk(*f) for f in fields]
         return pa.RecordBatch.from_arrays(
-            [batch["doc_id"], batch["chunk"], batch["window"], batch["inside"], pa.array(made, pa.binary())],
-            ["doc_id", "chunk", "window", "inside", "matrix"],
+            [
+                batch["doc_id"],
+                batch["chunk"],
+                batch["begun"],
+                *[pa.array([m[c] for m in made]) for c in ("head", "tail")],
+                *[pa.array([m[c] for m in made], pa.int32()) for c in ("n_head", "n_tail")],
+                _id_lists([m["middle"] for m in made]),
+                pa.array([m["matrix"].tobytes() for m in made], pa.binary()),
+            ],
+            ["doc_id", "chunk", "begun", "head", "tail", "n_head", "n_tail", "middle", "matrix"],
         )
 
-    matrices = stage(each_batch(shuffled, transfer, "doc_id long, chunk int, window string, inside int, matrix binary"), "transfer")
+    kind = (
+        "doc_id long, chunk int, begun int, head string, tail string, n_head int, n_tail int, "
+        "middle array<int>, matrix binary"
+    )
+    passed = stage(each_batch(chunks, transfer, kind), "transfer")
+    size = pieces(path, False).longest
 
     def settle(table):
         order = np.argsort(table["chunk"].to_numpy())
-        size = pieces(rows).longest
         blobs = table["matrix"].to_pylist()
-        found = boundary_states([np.frombuffer(blobs[k]).reshape(size, size) for k in order])
-        numbers = pa.array(range(len(order)), pa.int32())
-        return pa.table(
-            {
-                "doc_id": pa.array([table["doc_id"][0].as_py()] * len(order), pa.int64()),
-                "chunk": numbers,
-                "came": pa.array(found[:-1], pa.int32()),
-                "left": pa.array(found[1:], pa.int32()),
-            }
+        found = boundary_states([np.frombuffer(blobs[k], np.complex128).reshape(size, size) for k in order])
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([table["doc_id"][0].as_py()] * len(order), pa.int64()),
+                pa.array(range(len(order)), pa.int32()),
+                pa.array(found[:-1], pa.int32()),
+                pa.array(found[1:], pa.int32()),
+            ],
+            ["doc_id", "chunk", "came", "left"],
         )
 
-    states = matrices.select("doc_id", "chunk", "matrix").groupBy("doc_id").applyInArrow(
-        settle, "doc_id long, chunk int, came int, left int"
+    states = key_groups(
+        passed.select("doc_id", "chunk", "matrix"), ["doc_id"], settle, "doc_id long, chunk int, came int, left int"
     )
 
     def trace(batch):
-        coder = pieces(rows)
-        fields = zip(*(batch[c].to_pylist() for c in ("window", "inside", "came", "left")))
-        ids = [coder.trace(*f) for f in fields]
+        coder = pieces(path)
+        texts = [batch[c].to_pylist() for c in ("head", "n_head", "tail", "n_tail", "begun")]
+        states = [batch[c].to_pylist() for c in ("came", "left")]
+        ids = [coder.trace(*f) for f in zip(*texts, _lists(batch["middle"]), *states)]
         return pa.RecordBatch.from_arrays([batch["doc_id"], batch["chunk"], _id_lists(ids)], ["doc_id", "chunk", "ids"])
 
-    placed = matrices.drop("matrix").join(states, ["doc_id", "chunk"])
+    placed = passed.drop("matrix").join(states, ["doc_id", "chunk"])
     traced = each_batch(placed, trace, "doc_id long, chunk int, ids array<int>")
     joined = traced.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("chunk", "ids"))).alias("_parts"))
     whole = joined.select("doc_id", F.flatten("_parts.ids").alias("ids"))
@@ -467,10 +516,9 @@ def _encode_giants(docs: DataFrame, rows, chunk: int) -> DataFrame:
 
 def decode(encoded: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
     """``doc_id``, ``ids`` and the ``text`` they stand for. Null ids decode to null."""
-    rows = read_vocabulary(model_path)
 
     def work(batch):
-        coder = pieces(rows, False)
+        coder = pieces(model_path, False)
         flat = [None if i is None else coder.decode(np.array(i, np.int64)) for i in _lists(batch["ids"])]
         return pa.RecordBatch.from_arrays([batch["doc_id"], batch["ids"], pa.array(flat, pa.string())], ["doc_id", "ids", "text"])
 

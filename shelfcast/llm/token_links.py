@@ -28,7 +28,7 @@ BYTE_PATH = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PIECE_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 
 # Characters of a block: more make fewer counts of pairs in all, and larger rows.
-BLOCK_CHARS = 6_000_000
+BLOCK_CHARS = 3_000_000
 # The key of a pair is A's id * WIDEST + B's id; the key of an end is document << 40 | end.
 WIDEST = 1 << 20
 END_BITS = 40
@@ -82,9 +82,9 @@ def piece_side(path: str) -> Side:
     return Side(tokens, lambda texts: coder.encode(texts, num_threads=1))
 
 
-def _flat(lists: list[list[int]]) -> pa.ListArray:
+def _flat(lists: list[np.ndarray]) -> pa.ListArray:
     offsets = np.concatenate([[0], np.cumsum([len(i) for i in lists])]).astype(np.int32)
-    values = np.concatenate([np.array(i, np.int32) for i in lists]) if lists else np.zeros(0, np.int32)
+    values = np.concatenate(lists) if lists else np.zeros(0, np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
 
 
@@ -139,11 +139,15 @@ def _shas(flat: list[tuple], docs: int, printed: pa.Array, first_b: int) -> list
 
 def aligned(texts: list[str | None], a: Side, b: Side, printed: pa.Array) -> dict:
     """Counts and digests of documents, and their links as id pairs, document by document."""
-    ids_a, ids_b = a.ids([t or "" for t in texts]), b.ids([t or "" for t in texts])
-    for k, text in enumerate(texts):
-        wanted = (" " + text).encode() if text else None
-        if wanted is None or not (a.spells(ids_a[k], wanted) and b.spells(ids_b[k], wanted)):
-            ids_a[k], ids_b[k] = [], []
+    ids_a, ids_b = [], []
+    for text in texts:
+        # one text at a time: ids are small as arrays, not as Python numbers
+        own_a, own_b = (a.ids([text])[0], b.ids([text])[0]) if text else ([], [])
+        wanted = (" " + text).encode() if text else b""
+        if not (a.spells(own_a, wanted) and b.spells(own_b, wanted)):
+            own_a, own_b = [], []
+        ids_a.append(np.array(own_a, np.int32))
+        ids_b.append(np.array(own_b, np.int32))
     lists_a, lists_b = _flat(ids_a), _flat(ids_b)
     del ids_a, ids_b
     flat_a, key_a = _ends(lists_a, a.sizes)

@@ -73,18 +73,41 @@ def test_suffix_periodic_and_cut_in_blocks(spark, make_docs):
     assert cut == whole
 
 
-def test_pieces_chunks_score_like_whole():
+def chunked(coder, text, size):
+    """Ids of a text by the matrices of its chunks, at any size."""
+    text = " " + text
+    cuts = range(0, len(text), size)
+    windows = [text[c : c + size + coder.longest - 1] for c in cuts]
+    inside = [min(size, len(text) - c) for c in cuts]
+    begun = coder.begun(text, cuts)
+    made = [coder.chunk(*x) for x in zip(windows, inside, begun)]
+    states = piece_scan.boundary_states([m["matrix"] for m in made])
+    fields = ("head", "n_head", "tail", "n_tail")
+    ids = [
+        coder.trace(*(m[f] for f in fields), g, m["middle"], came, left)
+        for m, g, came, left in zip(made, begun, states, states[1:])
+    ]
+    return np.concatenate(ids)
+
+
+def test_pieces_do_not_depend_on_chunks(llm_documents):
+    """Ids of chunks equal those of the whole text, tied paths included."""
     coder = piece_scan.Pieces(piece_scan.read_vocabulary())
-    text = "x" * 70 + "hello" * 20 + " ab▁c\n日本" * 9 + LONG[:3000]
-    whole = coder.encode([text])[0]
-    assert coder.decode(whole) == text
-    for size in (7, 16, 33, 700):
-        cuts = range(0, len(text) + 1, size)
-        windows = [(" " + text)[c : c + size + coder.longest - 1] for c in cuts]
-        inside = [min(size, len(text) + 1 - c) for c in cuts]
-        states = piece_scan.boundary_states([coder.matrix(w, n) for w, n in zip(windows, inside)])
-        ids = np.concatenate([coder.trace(*x) for x in zip(windows, inside, states, states[1:])])
-        assert coder.decode(ids) == text and coder._total(ids) == coder._total(whole)
+    texts = [r["text"] for r in llm_documents.where("length(text) > 300").orderBy("doc_id").limit(60).collect()]
+    mixed = "x" * 70 + "hello" * 20 + " ab▁c\n日本" * 9 + LONG[:3000]
+    for text, sizes in [(mixed, (7, 16, 33, 700)), ("a" * 700, (16, 300)), (" " * 700, (16, 300))] + [(t, (300,)) for t in texts]:
+        whole = coder.encode([text])[0]
+        assert coder.decode(whole) == text
+        for size in sizes:
+            assert np.array_equal(chunked(coder, text, size), whole)
+
+
+def test_long_runs_do_not_depend_on_chunks(spark, make_docs):
+    rows = [(1, "a" * 20000), (2, " " * 20000), (3, "ab " * 6000)]
+    ids = [
+        {r["doc_id"]: r["ids"] for r in piece_scan.encode(make_docs(rows), chunk=c).collect()} for c in (300, 16_384, 1 << 20)
+    ]
+    assert ids[0] == ids[1] == ids[2]
 
 
 def test_pieces_best_path_by_brute_force():
@@ -93,13 +116,13 @@ def test_pieces_best_path_by_brute_force():
     for i, (piece, value, byte) in enumerate(piece_scan.read_vocabulary()):
         if piece:
             score[piece] = value
-    text = " unbelievable thblyer"
-    best = [0.0] + [-np.inf] * len(text)
-    for end in range(1, len(text) + 1):
-        for start in range(max(0, end - coder.longest), end):
-            if text[start:end] in score:
-                best[end] = max(best[end], best[start] + score[text[start:end]])
-    assert coder._total(coder.encode([text[1:]])[0]) == best[-1]
+    for text in (" unbelievable thblyer", " the quick brown foxes, jumped 12345 times"):
+        best = [0.0] + [-np.inf] * len(text)
+        for end in range(1, len(text) + 1):
+            for start in range(max(0, end - coder.longest), end):
+                if text[start:end] in score:
+                    best[end] = max(best[end], best[start] + score[text[start:end]])
+        assert coder.score[coder.encode([text[1:]])[0]].sum() == best[-1]
 
 
 def test_marginals_match_enumeration():
