@@ -29,6 +29,8 @@ PIECE_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 
 # Characters of a block: more make fewer counts of pairs in all, and larger rows.
 BLOCK_CHARS = 3_000_000
+# Characters that are encoded in one call.
+CHARS_AT_ONCE = 300_000
 # The key of a pair is A's id * WIDEST + B's id; the key of an end is document << 40 | end.
 WIDEST = 1 << 20
 END_BITS = 40
@@ -137,17 +139,29 @@ def _shas(flat: list[tuple], docs: int, printed: pa.Array, first_b: int) -> list
     return [hashlib.sha256(raw[x : y - 1]).hexdigest() if y > x else "" for x, y in zip(cuts[:-1], cuts[1:])]
 
 
+def _parts(texts: list[str]) -> Iterator[list[str]]:
+    part, size = [], 0
+    for text in texts:
+        part.append(text)
+        size += len(text)
+        if size >= CHARS_AT_ONCE:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def aligned(texts: list[str | None], a: Side, b: Side, printed: pa.Array) -> dict:
     """Counts and digests of documents, and their links as id pairs, document by document."""
     ids_a, ids_b = [], []
-    for text in texts:
-        # one text at a time: ids are small as arrays, not as Python numbers
-        own_a, own_b = (a.ids([text])[0], b.ids([text])[0]) if text else ([], [])
-        wanted = (" " + text).encode() if text else b""
-        if not (a.spells(own_a, wanted) and b.spells(own_b, wanted)):
-            own_a, own_b = [], []
-        ids_a.append(np.array(own_a, np.int32))
-        ids_b.append(np.array(own_b, np.int32))
+    for part in _parts([t or "" for t in texts]):
+        # some texts at a time: ids are small as arrays, not as Python numbers
+        for text, own_a, own_b in zip(part, a.ids(part), b.ids(part)):
+            wanted = (" " + text).encode()
+            if not text or not (a.spells(own_a, wanted) and b.spells(own_b, wanted)):
+                own_a, own_b = [], []
+            ids_a.append(np.array(own_a, np.int32))
+            ids_b.append(np.array(own_b, np.int32))
     lists_a, lists_b = _flat(ids_a), _flat(ids_b)
     del ids_a, ids_b
     flat_a, key_a = _ends(lists_a, a.sizes)
