@@ -58,10 +58,12 @@ def search_block(queries: pa.Table, candidates: pa.Table, centre: np.ndarray, se
     turn = rotation(points_.shape[1], seed)
     codes, far, points = encode(points_, centre, turn)
     rows = []
-    for query_id, query in zip(queries["vec_id"].to_numpy(), matrix(queries["embedding"])):
+    own = candidates["own"].to_numpy()
+    names = zip(queries["vec_id"].to_numpy(), queries["asked"].to_numpy(), queries["own"].to_numpy())
+    for (query_id, asked, self_), query in zip(names, matrix(queries["embedding"])):
         low, middle = estimate(query, codes, far, points, centre, turn)
-        low[ids == query_id] = np.inf
-        middle[ids == query_id] = np.inf
+        low[own == self_] = np.inf
+        middle[own == self_] = np.inf
         some = min(4 * nearest, len(ids))
         first = np.argpartition(middle, some - 1)[:some]
         first = first[np.isfinite(middle[first])]
@@ -75,11 +77,12 @@ def search_block(queries: pa.Table, candidates: pa.Table, centre: np.ndarray, se
         chosen = np.concatenate([first, again])
         score = np.concatenate([measured, np.linalg.norm(points_[again] - query, axis=1)])
         best = np.lexsort((ids[chosen], score))[:nearest]
-        rows += [(query_id, int(ids[chosen[k]]), float(score[k])) for k in best]
-    query_ids, vec_ids, scores = zip(*rows) if rows else ((), (), ())
+        rows += [(query_id, asked, int(ids[chosen[k]]), float(score[k])) for k in best]
+    query_ids, numbers, vec_ids, scores = zip(*rows) if rows else ((), (), (), ())
     return pa.table(
         {
             "query_id": pa.array(query_ids, pa.int64()),
+            "asked": pa.array(numbers, pa.int64()),
             "vec_id": pa.array(vec_ids, pa.int64()),
             "score": pa.array(scores, pa.float64()),
         }
@@ -93,25 +96,28 @@ def search(
     per_block: int = CANDIDATES,
     queries_per_block: int = QUERIES,
     seed: int = 11,
+    own: str = "vec_id",
 ) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id`` and ``score`` (Euclidean distance) of each
-    query's nearest candidates, without the query's own id; ties go to the smaller id.
+    query's nearest candidates; ties go to the smaller id. Candidates with the query's
+    value of ``own`` (a column of integers in both tables) are the query itself.
 
     Both tables have ``vec_id`` and ``embedding``. Rows with null ids, and vectors that are
     null, empty, zero or not finite, take no part. Vectors of different lengths do not
-    meet. Of repeated ids the smallest vector counts. Queries with fewer candidates than
-    ``nearest`` get all of them. An empty table gives an empty result.
+    meet. Every row counts, so a repeated id may come up several times, and every query row
+    gets a list of its own. Queries with fewer candidates than ``nearest`` get all of them.
+    An empty table gives an empty result.
 
     Queries and candidates are dealt into blocks by hash, each pair of blocks is one
     group, and only a query's best of each block leave it.
     """
-    queries, candidates = (_one_per_id(t) for t in (queries, candidates))
+    queries, candidates = (_usable_rows(t, own) for t in (queries, candidates))
     counts = candidates.agg(F.count("*").alias("n")).crossJoin(queries.agg(F.count("*").alias("q"))).first()
     n_blocks = max(1, -(-counts["n"] // per_block))
     q_blocks = max(1, -(-counts["q"] // queries_per_block))
     centres = _centres(candidates)
-    number = F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).cast("int")
-    of_query = F.pmod(F.xxhash64("vec_id"), F.lit(q_blocks)).cast("int")
+    number = F.pmod(F.xxhash64("asked"), F.lit(n_blocks)).cast("int")
+    of_query = F.pmod(F.xxhash64("asked"), F.lit(q_blocks)).cast("int")
     left = queries.withColumns(
         {"qb": of_query, "cb": F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))), "size": F.size("embedding")}
     )
@@ -126,22 +132,23 @@ def search(
 
     key = ["size", "qb", "cb"]
     found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(
-        work, "query_id long, vec_id long, score double"
+        work, "query_id long, asked long, vec_id long, score double"
     )
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    order = Window.partitionBy("query_id", "asked").orderBy("score", "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= nearest)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
 def search_block_empty() -> pa.Table:
-    return pa.table(
-        {"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())}
-    )
+    whole = pa.array([], pa.int64())
+    return pa.table({"query_id": whole, "asked": whole, "vec_id": whole, "score": pa.array([], pa.float64())})
 
 
-def _one_per_id(vectors: DataFrame) -> DataFrame:
-    good = vectors.where(usable("embedding") & F.col("vec_id").isNotNull())
-    return stage(good.groupBy("vec_id").agg(F.min("embedding").alias("embedding")), "vectors")
+def _usable_rows(vectors: DataFrame, own: str) -> DataFrame:
+    """Rows that take part, numbered by ``asked`` in a written table."""
+    good = vectors.where(usable("embedding") & F.col("vec_id").isNotNull() & F.col(own).isNotNull())
+    named = good.select("vec_id", F.col(own).cast("long").alias("own"), "embedding")
+    return stage(named.withColumn("asked", F.monotonically_increasing_id()), "vectors")
 
 
 def _centres(candidates: DataFrame) -> dict[int, np.ndarray]:
@@ -161,4 +168,5 @@ def _centres(candidates: DataFrame) -> dict[int, np.ndarray]:
 
 def query(spark, sf_dir):
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
-    return search(vectors.where(F.col("vec_id") % EVERY == 0), vectors)
+    vectors = stage(vectors.withColumn("row", F.monotonically_increasing_id()), "rows")
+    return search(vectors.where(F.col("vec_id") % EVERY == 0), vectors, own="row")

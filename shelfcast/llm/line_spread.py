@@ -1,8 +1,8 @@
 """Line dedup by distinct-site spread: lines that many sites share are boilerplate.
 
-A HyperLogLog sketch of sites per line merges within and between tasks. Lines whose
-estimate is far above the threshold are boilerplate, far below they are not, and those in
-between get an exact count of their sites.
+A HyperLogLog sketch of sites per line is made in every task that reads the line, and the
+sketches merge. Lines whose estimate is far above the threshold are boilerplate, far below
+they are not, and only those in between get an exact count of their sites.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ def clean_line(line: Column) -> Column:
 
 
 def line_rows(docs: DataFrame, site: str = "source", shortest: int = SHORTEST) -> DataFrame:
-    """``doc_id``, ``site``, ``at`` and ``line`` (128-bit hash of the clean line) of every
-    line that counts. A null site is a site of its own."""
+    """``doc_id``, ``site``, ``at``, ``line`` and ``check`` (64 and 32 bits of hash of the
+    clean line) of every line that counts. A null site is a site of its own."""
     split = docs.select(
         "doc_id", F.col(site).alias("site"), F.posexplode(F.split("text", "\n")).alias("at", "_line")
     )
@@ -34,22 +34,24 @@ def line_rows(docs: DataFrame, site: str = "source", shortest: int = SHORTEST) -
     return clean.select("doc_id", "site", "at", F.xxhash64("_clean").alias("line"), F.crc32("_clean").alias("check"))
 
 
+def sites_about(site: Column) -> Column:
+    """Estimated number of different values, from sketches that merge."""
+    return F.hll_sketch_estimate(F.hll_sketch_agg(site, SKETCH_BITS))
+
+
 def boilerplate(lines: DataFrame, sites: int = SITES) -> DataFrame:
     """``line`` and ``check`` of the lines on at least ``sites`` sites.
 
-    Rows are merged to one per line and site before they are sketched, so a line on a
-    third of all pages costs its task no more than its number of sites. A line that
-    occurs fewer times than ``sites`` cannot be on so many sites and gets no sketch.
+    The sketch is fed with every row of a line that occurs at least ``sites`` times; rarer
+    lines cannot be on so many sites. A line on a third of all pages reaches the merge as
+    one sketch per task. Only lines whose estimate is near ``sites`` have their sites
+    counted, again merged within each task first.
     """
     key = ["line", "check"]
-    on_site = lines.groupBy(*key, "site").agg(F.count("*").alias("_n"))
-    on_site = stage(on_site.select(*key, F.coalesce(F.concat(F.lit("s"), "site"), F.lit("-")).alias("site")), "sites")
-    often = on_site.groupBy(*key).agg(F.count("*").alias("_rows")).where(F.col("_rows") >= sites).drop("_rows")
-    shared = on_site.join(often, key, "left_semi")
-    sketched = shared.groupBy(*key).agg(
-        F.hll_sketch_estimate(F.hll_sketch_agg("site", SKETCH_BITS)).alias("_about")
-    )
-    sketched = stage(sketched, "sketched")
+    often = lines.groupBy(*key).agg(F.count("*").alias("_rows")).where(F.col("_rows") >= sites).drop("_rows")
+    named = F.coalesce(F.concat(F.lit("s"), "site"), F.lit("-"))
+    shared = stage(lines.join(often, key, "left_semi").select(*key, named.alias("site")), "shared")
+    sketched = stage(shared.groupBy(*key).agg(sites_about(F.col("site")).alias("_about")), "sketched")
     low, high = sites * (1 - MARGIN), sites * (1 + MARGIN)
     sure = sketched.where(F.col("_about") > high).select(*key)
     near = sketched.where(F.col("_about").between(low, high)).select(*key)

@@ -1,9 +1,10 @@
 """Quality classifier by hierarchical empirical Bayes.
 
 A document's own evidence comes from a logistic model on what its text looks like. Sites
-(``source``) and their sections (``lang`` within the site) add what their other documents
-say: a section's mean quality is shrunk towards its site's, a site's towards that of the
-whole table, by strengths that the data give. Sparse sites so say little.
+(``source``) and their sections (``lang`` within the site) add what the labels of their
+*other* documents say: a section's share of good labels is shrunk towards its site's, a
+site's towards that of all labels, as means of Beta posteriors whose strengths the data
+give. Sites with few labels so say little, sites without any say nothing.
 """
 
 from __future__ import annotations
@@ -70,12 +71,13 @@ def log_odds(p: Column) -> Column:
     return F.log(p / (1 - p))
 
 
-def strength(groups: DataFrame, mean: str, prior: str) -> float:
-    """How many documents the prior of a group counts for, by the method of moments: the
-    spread of group means beyond what their documents' spread explains."""
-    row = groups.agg(
-        F.sum(F.col("n") * F.pow(F.col(mean) - F.col(prior), 2)).alias("between"),
-        F.sum(F.col("n") * F.col("spread")).alias("within"),
+def strength(groups: DataFrame, prior: str) -> float:
+    """How many labels the prior of a group counts for, by the method of moments: the
+    spread of the groups' shares ``good / n`` around ``prior`` beyond what draws explain."""
+    share_ = F.col("good") / F.col("n")
+    row = groups.where("n > 0").agg(
+        F.sum(F.col("n") * F.pow(share_ - F.col(prior), 2)).alias("between"),
+        F.sum(F.col("n") * F.col(prior) * (1 - F.col(prior))).alias("within"),
         F.sum("n").alias("n"), F.count("*").alias("groups"),
         F.sum(F.col("n") * F.col("n")).alias("squares"),
     ).first()
@@ -84,57 +86,65 @@ def strength(groups: DataFrame, mean: str, prior: str) -> float:
     within = row["within"] / row["n"]
     size = (row["n"] - row["squares"] / row["n"]) / (row["groups"] - 1)
     variance = (row["between"] / (row["groups"] - 1) - within) / size if size > 0 else 0.0
-    return float(min(1e6, max(1.0, within / variance))) if variance > 0 else 1e6
+    return float(min(1e6, max(1.0, within / variance - 1))) if variance > 0 else 1e6
+
+
+def label_counts(docs: DataFrame) -> DataFrame:
+    """``source``, ``lang``, ``n`` and ``good``: labelled rows of each section, and how many
+    of them are good. Rows are summed within each task before they are shuffled."""
+    return docs.groupBy("source", "lang").agg(
+        F.count("_good").alias("n"), F.coalesce(F.sum("_good"), F.lit(0)).alias("good")
+    )
 
 
 def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id``, ``doc_score`` (text alone), ``site_quality``, ``section_quality``, ``score``
     and ``kept`` of every row of ``docs``.
 
-    The score adds to the document's log odds those of its section beyond the table's. A
-    null source or lang is a site or section of its own. Empty and null texts are scored
-    by their features like others. Repeated rows count as rows. No labels: every
-    document's own score is 0.5. An empty table gives an empty result. Only ``doc_id``,
-    ``text``, ``source`` and ``lang`` are read.
+    Site and section quality are posterior means without the row's own label. The score
+    adds to the row's log odds those of its section beyond those of all labels, likewise
+    without its own. A null source or lang is a site or section of its own. Empty and null
+    texts are scored by their features like others. Repeated rows count as rows; of
+    repeated labels of an id the best counts, null labels are none. No labels: every score
+    is 0.5. An empty table gives an empty result. Only ``doc_id``, ``text``, ``source`` and
+    ``lang`` are read.
 
-    Documents are summed to sections within each task before the shuffle and sections to
-    sites after it, so a large site costs no more than its number of sections.
+    Labels are counted by section within each task before the shuffle and sections summed
+    to sites after it, so a large site costs no more than its number of sections.
     """
     table = stage(features(docs), "features")
     model = fit(table, labels)
+    known = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id")
+    known = known.agg((F.max("quality") > 0).cast("long").alias("_good"))
     scored = table.select("doc_id", "source", "lang", (1 / (1 + F.exp(-evidence(*model)))).alias("doc_score"))
-    p = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), F.col("doc_score")))
-    sections = stage(
-        scored.groupBy("source", "lang").agg(
-            F.count("*").alias("n"), F.sum("doc_score").alias("total"), F.sum(F.col("doc_score") ** 2).alias("squares")
-        ),
-        "sections",
-    )
-    spread = F.greatest(F.lit(0.0), F.col("squares") / F.col("n") - F.pow(F.col("total") / F.col("n"), 2))
-    whole = sections.agg(F.sum("total").alias("t"), F.sum("n").alias("n")).first()
-    overall = whole["t"] / whole["n"] if whole["n"] else 0.5
-    sites = sections.groupBy("source").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("squares").alias("squares"))
-    sites = sites.withColumns({"mean": F.col("total") / F.col("n"), "spread": spread, "prior": F.lit(overall)})
-    site_strength = strength(sites, "mean", "prior")
-    site = sites.select(
-        F.col("source").alias("_source"),
-        ((F.col("total") + site_strength * F.lit(overall)) / (F.col("n") + site_strength)).alias("site_quality"),
-    )
-    placed = sections.join(site, F.col("source").eqNullSafe(F.col("_source"))).withColumns(
-        {"mean": F.col("total") / F.col("n"), "spread": spread}
+    scored = stage(scored.join(known, "doc_id", "left"), "scored")
+    sections = stage(label_counts(scored), "sections")
+    sites = sections.groupBy("source").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+    whole = sites.agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
+    n, good = whole["n"] or 0, whole["good"] or 0
+    overall = (good + 0.5) / (n + 1)
+    site_strength = strength(sites.withColumn("prior", F.lit(overall)), "prior")
+    site = sites.select(F.col("source").alias("_source"), F.col("n").alias("_site_n"), F.col("good").alias("_site_good"))
+    placed = sections.join(site, F.col("source").eqNullSafe(F.col("_source")))
+    shrunk = lambda good, n, k, prior: (good + k * prior) / (n + k)
+    placed = placed.withColumn("prior", shrunk(F.col("_site_good"), F.col("_site_n"), site_strength, F.lit(overall)))
+    section_strength = strength(placed, "prior")
+    section = placed.select("_source", F.col("lang").alias("_lang"), "_site_n", "_site_good", "n", "good")
+    same = F.col("source").eqNullSafe(F.col("_source")) & F.col("lang").eqNullSafe(F.col("_lang"))
+    own, own_good = F.col("_good").isNotNull().cast("long"), F.coalesce("_good", F.lit(0))
+    # what all labels but the row's own say
+    base = (F.lit(good + 0.5) - own_good) / (F.lit(n + 1.0) - own)
+    within = lambda c: F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), c))
+    others = scored.join(section, same).withColumn("_base", within(base))
+    others = others.withColumn(
+        "site_quality", shrunk(F.col("_site_good") - own_good, F.col("_site_n") - own, site_strength, F.col("_base"))
     )
-    section_strength = strength(placed, "mean", "site_quality")
-    section = placed.select(
-        "_source", F.col("lang").alias("_lang"), "site_quality",
-        ((F.col("total") + section_strength * F.col("site_quality")) / (F.col("n") + section_strength)).alias("section_quality"),
+    others = others.withColumn(
+        "section_quality", shrunk(F.col("good") - own_good, F.col("n") - own, section_strength, F.col("site_quality"))
     )
-    within = lambda name: F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), F.col(name)))
-    base = float(np.log(max(overall, 1e-6) / max(1 - overall, 1e-6)))
-    total = log_odds(p) + log_odds(within("section_quality")) - F.lit(base)
-    same = F.col("source").eqNullSafe(F.col("_source")) & F.col("lang").eqNullSafe(F.col("_lang"))
+    total = log_odds(within(F.col("doc_score"))) + log_odds(within(F.col("section_quality"))) - log_odds(F.col("_base"))
     return (
-        scored.join(section, same)
-        .withColumn("score", 1 / (1 + F.exp(-total)))
+        others.withColumn("score", 1 / (1 + F.exp(-total)))
         .withColumn("kept", F.col("score") >= threshold)
         .select("doc_id", "doc_score", "site_quality", "section_quality", "score", "kept")
     )

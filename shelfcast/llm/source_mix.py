@@ -70,6 +70,7 @@ def mix(
     share: float = SHARE,
     most: float = MOST_EPOCHS,
     seed: int = 0,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Rows of ``sized`` (``doc_id``, ``source``, ``size``, ``weight``) with ``source_size``,
     ``target`` and ``taken`` (words taken, a multiple of ``size``).
@@ -80,14 +81,15 @@ def mix(
     a source of its own. Documents of size 0 take nothing. Equal keys go by ``doc_id``;
     rows equal in every column are alike, so their order does not matter. A weight that is
     null or not positive counts as the smallest positive one allowed, 1e-6. Reruns draw the
-    same keys, since they are hashes of id, size and seed.
+    same keys, since they are hashes of id, size and seed. Columns named in ``carry`` stay
+    with their rows and settle what is equal otherwise.
 
     A source may hold a third of all rows: rows are sorted by source and range of the key,
     and the sums of the ranges come before; no task sorts a whole source.
     """
     weight = F.greatest(F.coalesce("weight", F.lit(0.0)), F.lit(1e-6))
     keyed = sized.select(
-        "doc_id", "source", "size",
+        "doc_id", "source", "size", *carry,
         (-F.log(unit_interval("doc_id", "size", F.lit(seed))) / weight).alias("_key"),
     )
     sizes = keyed.groupBy("source").agg(
@@ -108,7 +110,7 @@ def mix(
         F.col("_bin").alias("_at"),
         F.coalesce(F.sum("_words").over(earlier), F.lit(0)).alias("_start"),
     )
-    in_bin = Window.partitionBy("source", "_bin").orderBy("_key", "doc_id", "size")
+    in_bin = Window.partitionBy("source", "_bin").orderBy("_key", "doc_id", "size", *carry)
     before = F.coalesce(F.sum("size").over(in_bin.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     rest = F.col("target") - F.col("_epochs") * F.col("source_size")
@@ -118,30 +120,33 @@ def mix(
         .join(starts, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_bin") == F.col("_at")))
         .withColumn("_epochs", epochs.cast("long"))
         .withColumn("taken", F.col("size") * (F.col("_epochs") + (half <= rest).cast("long")))
-        .select("doc_id", "source", "size", "source_size", "target", "taken")
+        .select("doc_id", "source", "size", "source_size", "target", "taken", *carry)
     )
 
 
-def sized_documents(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``source``, ``size`` in words and ``weight`` of documents."""
-    counted = docs.select("doc_id", "source", word_count("text").alias("size"), F.length("text").alias("_chars"))
-    return counted.select("doc_id", "source", "size", quality_weight("_chars", "size").alias("weight"))
+def sized_documents(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """``doc_id``, ``source``, ``size`` in words and ``weight`` of documents, and ``carry``."""
+    counted = docs.select(
+        "doc_id", "source", word_count("text").alias("size"), F.length("text").alias("_chars"), *carry
+    )
+    return counted.select("doc_id", "source", "size", quality_weight("_chars", "size").alias("weight"), *carry)
 
 
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` as the mix takes them: a row per copy, none for documents left out.
 
     Documents of size 0 are no part of a word budget and stay once. Columns stay as they
-    are, whatever their names. Repeated rows of an id draw one key and share a decision.
+    are, whatever their names. Every row has a decision of its own, rows of one id too.
+    Rows get their names in a written table, so a lost executor cannot rename them.
     """
-    taken = mix(stage(sized_documents(docs), "sizes"), **settings)
+    named = stage(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "named")
+    taken = mix(stage(sized_documents(named, ["_mix_row"]), "sizes"), carry=["_mix_row"], **settings)
     copies = F.when(F.col("size") == 0, 1).otherwise(F.col("taken") / F.col("size")).cast("int")
-    chosen = taken.groupBy("doc_id").agg(F.max(copies).alias("_copies")).withColumnRenamed("doc_id", "_id")
-    joined = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")))
+    chosen = taken.select("_mix_row", copies.alias("_mix_copies")).where("_mix_copies > 0")
     return (
-        joined.where("_copies > 0")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .drop("_id", "_copies", "_copy")
+        named.join(chosen, "_mix_row")
+        .withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
+        .drop("_mix_row", "_mix_copies", "_mix_copy")
     )
 
 

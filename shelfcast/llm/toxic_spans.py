@@ -22,7 +22,8 @@ from shelfcast.llm.common import documents, each_batch
 WORD = re.compile(r"\w+")
 # Bound of the labelled rows the models are fitted on.
 SAMPLE_ROWS = 20_000
-# Of these, so many toxic and so many clean documents of at most so many words train the field.
+# Documents are cut into windows of so many words for the field; of the windows, so many of
+# toxic and so many of clean documents train it.
 FIELD_ROWS = 300
 FIELD_WORDS = 400
 THRESHOLD = 0.7
@@ -217,14 +218,27 @@ def _observations(sample: DataFrame, evidence: dict[str, int]):
     return sorted(rows)
 
 
+def windows(toxic: int, words: int, found, longest: int = FIELD_WORDS):
+    """A document's windows of ``longest`` words, the last one shorter; words of evidence
+    are numbered from their window's start. Of a toxic document only windows with evidence
+    count, as nothing says what its other windows are."""
+    parts = {}
+    for i, *rest in found:
+        parts.setdefault(i // longest, []).append((i % longest, *rest))
+    numbers = sorted(parts) if toxic and words > longest else range(-(-words // longest))
+    return [(toxic, min(longest, words - k * longest), parts.get(k, [])) for k in numbers]
+
+
 def fit_field(rows, classes: int, rounds: int = 50, rate: float = 0.5):
     """Weights of the field by gradient ascent on the likelihood of the labelled words.
 
-    A word is labelled toxic where it has evidence and its document is toxic.
+    A word is labelled toxic where it has evidence and its document is toxic. Documents of
+    any length take part, as windows of at most ``FIELD_WORDS`` words.
     """
+    cut = [w for r in rows for w in windows(*r)]
     short = []
     for kind in (0, 1):
-        fitting = [r for r in rows if r[0] == kind and 0 < r[1] <= FIELD_WORDS]
+        fitting = [w for w in cut if w[0] == kind]
         step = max(1, -(-len(fitting) // FIELD_ROWS))
         short += fitting[::step]
     short = short or [(0, 1, [])]
