@@ -135,18 +135,21 @@ def dummy_columns(df: DataFrame, columns: Sequence[str], max_categories: int = 1
     """Replace each column by one 0/1 column per category, named ``column_category``.
 
     A null is 0 in all of them. Column names come from the data, so the categories are
-    fetched; more than ``max_categories`` per column is an error, as it is no table shape;
+    fetched, as text and in its order, those of all columns in one pass; more than
+    ``max_categories`` per column is an error, as it is no table shape;
     ``one_hot_by_join`` is the form without a limit.
     """
-    categories: dict[str, list[str]] = {}
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
+    found = df.select(F.inline(F.array(*pairs))) if pairs else df.selectExpr("'' AS column", "'' AS value").limit(0)
+    most = max_categories * len(columns)
+    rows = found.where(F.col("value").isNotNull()).distinct().limit(most + 1).collect()
+    categories = {c: sorted(r["value"] for r in rows if r["column"] == c) for c in columns}
     for c in columns:
-        found = df.where(F.col(c).isNotNull()).select(c).distinct().orderBy(c).limit(max_categories + 1)
-        categories[c] = [row[0] for row in found.collect()]
         if len(categories[c]) > max_categories:
             raise ValueError(f"column {c} has more than {max_categories} categories")
     rest = [c for c in df.columns if c not in set(columns)]
     dummies = [
-        F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0)).alias(f"{c}_{v}")
+        F.coalesce((F.col(c).cast("string") == F.lit(v)).cast("int"), F.lit(0)).alias(f"{c}_{v}")
         for c in columns
         for v in categories[c]
     ]

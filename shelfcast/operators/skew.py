@@ -6,12 +6,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from shelfcast.scratch import stage
+
 SALT = "_salt"
 
 # A lookup of up to this many rows is a few megabytes; Spark broadcasts it by its own
 # size check, and no key is shuffled at all.
 PLAIN_LOOKUP_ROWS = 100_000
 
+# A key with more than this share of the rows is split; at most its inverse can be.
+HOT_SHARE = 1 / 1000
+
 
 def spread_join(
     rows: DataFrame,
@@ -37,3 +42,34 @@ def spread_join(
     salts = F.sequence(F.lit(0), F.lit(ways - 1)).cast("array<bigint>")
     right = lookup.withColumn(SALT, F.explode(salts)).hint("merge")
     return left.join(right, [*keys, SALT], how).drop(SALT)
+
+
+def measured_join(
+    rows: DataFrame,
+    lookup: DataFrame,
+    keys: Sequence[str],
+    spread_by: Sequence[str],
+    hot_share: float = HOT_SHARE,
+    plain_rows: int = PLAIN_LOOKUP_ROWS,
+) -> DataFrame:
+    """Inner join of ``rows`` to ``lookup`` (one row per key, keys not null), where any key
+    may be hot.
+
+    A lookup of more than ``plain_rows`` rows is merge-joined, and the keys of ``rows`` are
+    counted first. A key with more than ``hot_share`` of all rows is split into parts of
+    that size, by the hash of ``spread_by``, and only its lookup row is repeated. There are
+    at most ``1 / hot_share`` such keys, so their table is small whatever the data hold.
+    """
+    if lookup.limit(plain_rows + 1).count() <= plain_rows:
+        return rows.join(lookup, list(keys))
+    counted = stage(rows.groupBy(*keys).agg(F.count("*").alias("_n")), "key-counts")
+    total = counted.agg(F.sum("_n")).first()[0] or 0
+    part = max(1.0, total * hot_share)
+    hot = counted.where(F.col("_n") > part).select(*keys, F.ceil(F.col("_n") / part).cast("int").alias("_ways"))
+    hot = stage(hot, "hot-keys")
+    ways = F.coalesce("_ways", F.lit(1))
+    salted = rows.join(F.broadcast(hot), list(keys), "left")
+    salted = salted.withColumn(SALT, F.pmod(F.xxhash64(*spread_by), ways).cast("int")).drop("_ways")
+    repeated = lookup.join(F.broadcast(hot), list(keys), "left")
+    repeated = repeated.withColumn(SALT, F.explode(F.sequence(F.lit(0), ways - 1))).drop("_ways")
+    return salted.join(repeated.hint("merge"), [*keys, SALT]).drop(SALT)

@@ -12,7 +12,8 @@ from shelfcast.plans.registry import PANEL_KEY, over_panel, over_rated, register
 from shelfcast.plans.shared import stored_panel
 from shelfcast.scratch import fresh_path
 from shelfcast.sources.panel import rated_documents
-from shelfcast.sources.sinks import write_parquet
+from shelfcast.sources.scans import read_csv_typed
+from shelfcast.sources.sinks import write_csv, write_parquet
 
 _PAIRS_SQL = " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM panel" for c in CATEGORICALS
@@ -131,16 +132,25 @@ _LANGS = ["de", "en", "es", "fr"]
 _SOURCES = sorted(f"src{n}" for n in range(20))
 
 
-@register(
-    "dummy_columns",
-    over_rated(
-        " SELECT doc_id, n_chars, quality, "
-        + ", ".join(f"CAST(COALESCE(lang = '{v}', FALSE) AS INTEGER) AS lang_{v}" for v in _LANGS)
-        + ", "
-        + ", ".join(f"CAST(COALESCE(source = '{v}', FALSE) AS INTEGER) AS source_{v}" for v in _SOURCES)
-        + " FROM rated"
-    ),
+_DUMMIES_SQL = over_rated(
+    " SELECT doc_id, n_chars, quality, "
+    + ", ".join(f"CAST(COALESCE(lang = '{v}', FALSE) AS INTEGER) AS lang_{v}" for v in _LANGS)
+    + ", "
+    + ", ".join(f"CAST(COALESCE(source = '{v}', FALSE) AS INTEGER) AS source_{v}" for v in _SOURCES)
+    + " FROM rated"
 )
+
+
+@register("dummy_columns", _DUMMIES_SQL)
 def dummy_columns(spark, sf_dir):
     rated = rated_documents(spark, sf_dir).select("doc_id", "lang", "source", "n_chars", "quality")
     return encoding.dummy_columns(rated, ["lang", "source"])
+
+
+@register("sink_dummy_columns", _DUMMIES_SQL)
+def sink_dummy_columns(spark, sf_dir):
+    """The encoded table as CSV, read back by its own types."""
+    table = dummy_columns(spark, sf_dir)
+    path = fresh_path(spark, "dummies-csv")
+    write_csv(table, path)
+    return read_csv_typed(spark, path, table.schema)

@@ -97,10 +97,9 @@ def limit_ordered(spark, sf_dir):
     ),
 )
 def join_encoded_by_id(spark, sf_dir):
-    documents = read_named(spark, sf_dir, "documents")
-    encoded = dummy_columns(documents.select("doc_id", "lang"), ["lang"])
-    numbers = rated_documents(spark, sf_dir).select("doc_id", "n_chars", "quality", "toxic")
-    return encoded.join(numbers, "doc_id")
+    documents = read_named(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang")
+    ratings = read_named(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    return dummy_columns(documents, ["lang"]).join(ratings, "doc_id", "left")
 
 
 @register(

@@ -9,6 +9,8 @@ from shelfcast.plans.registry import register
 from shelfcast.sources.scans import read_named
 
 SIDE = 8
+# Fixed value: the image that is looked at.
+PICKED = 2
 
 
 def _images(spark, sf_dir):
@@ -50,6 +52,18 @@ def array_reshape(spark, sf_dir):
     return rows.select("vec_id", "image_row", F.posexplode("row_pixels").alias("image_col", "value"))
 
 
+@register(
+    "array_pick_image",
+    f"""SELECT CAST(p // {SIDE} AS INTEGER) AS image_row, CAST(p % {SIDE} AS INTEGER) AS image_col, value
+        FROM (SELECT unnest(range(len(embedding))) AS p, CAST(unnest(embedding) AS DOUBLE) AS value
+              FROM embeddings WHERE vec_id = {PICKED})""",
+)
+def array_pick_image(spark, sf_dir):
+    images = _images(spark, sf_dir).withColumn("image", arrays.square_rows("pixels", SIDE))
+    rows = images.where(F.col("vec_id") == PICKED).select(F.posexplode("image").alias("image_row", "row_pixels"))
+    return rows.select("image_row", F.posexplode("row_pixels").alias("image_col", "value"))
+
+
 @register(
     "array_first_positive",
     """SELECT vec_id,

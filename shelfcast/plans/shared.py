@@ -1,4 +1,4 @@
-"""Tables several queries read, built once per session."""
+"""Tables several queries read, built once per session and state of the source data."""
 
 from __future__ import annotations
 
@@ -8,20 +8,22 @@ from shelfcast.operators import aggregate
 from shelfcast.operators.encoding import prepared_panel
 from shelfcast.scratch import shared_root
 from shelfcast.sources.panel import known_rows, labelled_panel
-from shelfcast.sources.sinks import materialize_once
+from shelfcast.sources.sinks import folder_tag, materialize_once
 
 # Columns the registered models hash, and the slots of each.
 MODEL_HASHED = ["item_id"]
 MODEL_HASH_SLOTS = 256
 
 
-def data_tag(sf_dir: str) -> str:
-    return hashlib.md5(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+def data_tag(spark, sf_dir: str) -> str:
+    """Names a data folder and what it holds, so that replaced data are not mistaken for old."""
+    state = (sf_dir.rstrip("/"), folder_tag(spark, sf_dir))
+    return hashlib.md5(repr(state).encode()).hexdigest()[:12]
 
 
 def stored_top_cells(spark, sf_dir):
     """Top cells of a data folder: all distributions are drawn from this one table."""
-    path = f"{shared_root(spark)}/top-cells-{data_tag(sf_dir)}"
+    path = f"{shared_root(spark)}/top-cells-{data_tag(spark, sf_dir)}"
     return materialize_once(spark, path, lambda: aggregate.top_cells(known_rows(spark, sf_dir)))
 
 
@@ -31,7 +33,7 @@ def stored_panel(spark, sf_dir):
     Files are in day order, so a reader of the history or of the days to predict skips
     the row groups of the other.
     """
-    path = f"{shared_root(spark)}/panel-{data_tag(sf_dir)}"
+    path = f"{shared_root(spark)}/panel-{data_tag(spark, sf_dir)}"
     return materialize_once(
         spark, path, lambda: labelled_panel(spark, sf_dir).sortWithinPartitions("dn")
     )
@@ -43,7 +45,7 @@ def stored_prepared_panel(spark, sf_dir, base_slot):
     Items are hashed, so the models keep their size however many items the tables hold.
     ``base_slot`` is for linear models, see ``encoder``.
     """
-    path = f"{shared_root(spark)}/prepared-{int(base_slot)}-{data_tag(sf_dir)}"
+    path = f"{shared_root(spark)}/prepared-{int(base_slot)}-{data_tag(spark, sf_dir)}"
 
     def build():
         panel = stored_panel(spark, sf_dir)

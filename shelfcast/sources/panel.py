@@ -6,6 +6,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from shelfcast.operators.skew import PLAIN_LOOKUP_ROWS, measured_join
 from shelfcast.sources.scans import read_named
 
 # Day 0, the last day with known sales, and the length of a horizon.
@@ -26,6 +27,7 @@ def sales_panel(
     last_day: int | None = None,
     dept_id: str | None = None,
     store_id: str | None = None,
+    plain_rows: int = PLAIN_LOOKUP_ROWS,
 ) -> DataFrame:
     """Panel rows of the days first_day..last_day (both ends included), of one department
     and one store if they are given; then other line items go before they are summed.
@@ -34,14 +36,16 @@ def sales_panel(
     row groups by; the same test on ``dn`` after the aggregation could not be pushed.
     Units are summed per item, store and day on plain numbers before names and item
     fields are joined, so a best-selling item reaches those joins with at most
-    stores x days rows.
+    stores x days rows. The supplier join before the sum splits suppliers with many line
+    items, once there are more than ``plain_rows`` suppliers.
     """
     lines = read_named(spark, sf_dir, "lineitem")
     if first_day is not None:
         lines = lines.where(F.col("l_shipdate") >= _midnight(first_day))
     if last_day is not None:
         lines = lines.where(F.col("l_shipdate") < _midnight(last_day + 1))
-    stores = read_named(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    stores = read_named(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    stores = stores.where(F.col("l_suppkey").isNotNull())
     names = read_named(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("store_id"))
     items = read_named(spark, sf_dir, "part").select(
         "p_partkey", F.col("p_type").alias("dept_id")
@@ -52,8 +56,9 @@ def sales_panel(
     if dept_id is not None:
         items = items.where(F.col("dept_id") == dept_id)
         lines = lines.join(items, F.col("l_partkey") == F.col("p_partkey"), "left_semi")
+    lines = lines.select("l_partkey", "l_suppkey", "l_shipdate", "l_quantity")
     daily = (
-        lines.join(stores, F.col("l_suppkey") == F.col("s_suppkey"))
+        measured_join(lines, stores, ["l_suppkey"], ["l_partkey", "l_shipdate"], plain_rows=plain_rows)
         .groupBy("l_partkey", "s_nationkey", F.to_date("l_shipdate").alias("day"))
         .agg(F.sum("l_quantity").alias("units"))
         .join(names, F.col("s_nationkey") == F.col("n_nationkey"))

@@ -25,12 +25,16 @@ def read_csv_typed(
     """CSV with a header and a given schema, bound by name.
 
     ``fail`` stops the read at the first value that does not parse, because a silent
-    null in the sales column would turn a broken row into a row to be predicted.
-    ``mark`` keeps such rows and puts their text in ``_bad_record``.
+    null in the sales column would turn a broken row into a row to be predicted. It parses
+    every column, whichever of them a query selects, so a broken value in a column that is
+    not asked for stops the read too. Rows that a filter drops during the scan are parsed
+    as far as the filter needs. ``mark`` keeps such rows and puts their text in ``_bad_record``.
     """
     reader = spark.read.option("header", True).option("enforceSchema", False)
     if on_bad_rows == "fail":
-        return reader.schema(schema).option("mode", "FAILFAST").csv(path)
+        rows = reader.schema(schema).option("mode", "FAILFAST").csv(path)
+        # true for every row, and it reads all columns
+        return rows.where(F.hash(*(F.col(f"`{c}`") for c in rows.columns)) >= F.lit(-(2**31)))
     if on_bad_rows == "mark":
         marked = T.StructType(schema.fields + [T.StructField(BAD_RECORD, T.StringType())])
         return (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,9 +45,46 @@ def materialize_once(
 ) -> DataFrame:
     """Read the table at ``path``; build and write it first when it is not there.
 
-    A table counts as stored only with its ``_SUCCESS`` mark, so what a killed job
-    left behind is built again.
+    The table is written under a name of its own and then renamed, so readers see a whole
+    table or none, and a killed job leaves nothing at ``path``. Of two builders at once
+    the first to finish is kept, and the other reads its table.
     """
     if not path_exists(spark, f"{path}/_SUCCESS"):
-        write_parquet(build(), path)
+        parent, name = path.rstrip("/").rsplit("/", 1)
+        fresh = f"{parent}/_building-{name}-{uuid.uuid4().hex[:12]}"
+        build().write.parquet(fresh)
+        publish(spark, fresh, path)
     return spark.read.parquet(path)
+
+
+def publish(spark: SparkSession, fresh: str, path: str) -> None:
+    """Give the finished table ``fresh`` the name ``path``, unless a finished table has it.
+
+    A folder at ``path`` without the ``_SUCCESS`` mark, which other writers may have left,
+    is replaced. A rename onto a folder that appeared meanwhile moves the table into it,
+    under a name with an underscore that readers pass over; it is removed from there.
+    """
+    fs, to = _filesystem(spark, path)
+    source = spark._jvm.org.apache.hadoop.fs.Path(fresh)
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        fs.delete(to, True)
+        if not fs.rename(source, to) and not path_exists(spark, f"{path}/_SUCCESS"):
+            raise OSError(f"cannot rename {fresh} to {path}")
+    for left in (source, spark._jvm.org.apache.hadoop.fs.Path(to, source.getName())):
+        if fs.exists(left):
+            fs.delete(left, True)
+
+
+def folder_tag(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Name, bytes and time of the last change of each entry of a folder.
+
+    A folder of part files is one entry: adding, removing or replacing parts changes its
+    size or its time, so no part is listed on the driver.
+    """
+    fs, hadoop_path = _filesystem(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return sorted(
+        (e.getPath().getName(), fs.getContentSummary(e.getPath()).getLength(), e.getModificationTime())
+        for e in fs.listStatus(hadoop_path)
+    )

@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfcast import scratch
+from shelfcast.operators.skew import measured_join
+from shelfcast.plans.shared import data_tag
 from shelfcast.sources import scans, sinks
 from shelfcast.sources.panel import HISTORY_END, sales_panel
 from shelfcast.sources.schema import (
@@ -44,6 +46,15 @@ def test_typed_csv_does_not_lose_bad_rows(spark, tmp_path):
         scans.read_csv_typed(spark, path, PANEL_SCHEMA, on_bad_rows="drop")
 
 
+def test_typed_csv_reads_columns_nobody_asked_for(spark, tmp_path):
+    path = write_text(tmp_path, HEADER, GOOD, BAD)
+    for ask in (lambda t: t.select("dn").collect(), lambda t: t.count(), lambda t: t.where("dn = 2").select("year").collect()):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            ask(scans.read_csv_typed(spark, path, PANEL_SCHEMA))
+    empty = write_text(tmp_path, HEADER, GOOD, "," * (len(PANEL_SCHEMA) - 1))
+    assert scans.read_csv_typed(spark, empty, PANEL_SCHEMA).select("dn").count() == 2
+
+
 def test_typed_csv_checks_the_header(spark, tmp_path):
     path = write_text(tmp_path, HEADER.replace("sales", "turnover"), GOOD)
     with pytest.raises(Exception, match="(?i)header"):
@@ -88,6 +99,74 @@ def test_materialize_once(spark, tmp_path):
     assert len(built) == 2
 
 
+def test_two_builders_at_once(spark, tmp_path):
+    """The table that is published first stays, and nothing else does."""
+    path = str(tmp_path / "table")
+
+    def slow():
+        assert sinks.materialize_once(spark, path, lambda: spark.range(5)).count() == 5
+        return spark.range(7)
+
+    assert sinks.materialize_once(spark, path, slow).count() == 5
+    assert spark.read.parquet(path).count() == 5
+    assert [p.name for p in tmp_path.iterdir()] == ["table"]
+    assert not [p for p in (tmp_path / "table").iterdir() if p.name.startswith("_building")]
+
+
+def test_a_failed_build_leaves_no_table(spark, tmp_path):
+    path = str(tmp_path / "table")
+    with pytest.raises(Exception, match="(?i)not today"):
+        sinks.materialize_once(spark, path, lambda: spark.range(5).select(F.raise_error(F.lit("not today")).cast("int").alias("x")))
+    assert not sinks.path_exists(spark, path)
+    assert sinks.materialize_once(spark, path, lambda: spark.range(5)).count() == 5
+
+
+def test_replaced_data_get_another_tag(spark, tmp_path):
+    data = str(tmp_path / "data")
+    tags = []
+    for rows in (10, 10_000, 10_000):
+        spark.range(rows).write.mode("overwrite").parquet(f"{data}/lineitem.parquet")
+        tags.append(data_tag(spark, data))
+        assert data_tag(spark, data + "/") == tags[-1]
+    spark.range(3).write.parquet(f"{data}/part.parquet")
+    assert len({*tags, data_tag(spark, data), data_tag(spark, str(tmp_path / "none"))}) == 5
+
+
+def test_hot_supplier_is_split(spark, sf_dir, tmp_path):
+    """A supplier with nearly all line items, merge joins only: same panel, even tasks."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    key = F.when(F.col("l_linenumber") < 7, F.lit(1)).otherwise(F.col("l_suppkey")).cast("bigint")
+    lines.withColumn("l_suppkey", key).write.parquet(f"{tmp_path}/lineitem.parquet")
+    for name in ("supplier", "nation", "part"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        plain = sales_panel(spark, str(tmp_path))
+        split = sales_panel(spark, str(tmp_path), plain_rows=0)
+        assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
+        rows = spark.read.parquet(f"{tmp_path}/lineitem.parquet").select("l_suppkey", "l_partkey", "l_shipdate")
+        stores = spark.read.parquet(f"{tmp_path}/supplier.parquet").selectExpr("s_suppkey AS l_suppkey", "s_nationkey")
+        joined = measured_join(rows, stores, ["l_suppkey"], ["l_partkey", "l_shipdate"], plain_rows=0)
+        assert "_salt" in plan_text(joined) and "SortMergeJoin" in plan_text(joined)
+        sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert sum(sizes) == rows.count() and max(sizes) < 0.3 * sum(sizes)
+        assert measured_join(rows.limit(0), stores, ["l_suppkey"], ["l_partkey"], plain_rows=0).count() == 0
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def plan_text(df) -> str:
+    return df._jdf.queryExecution().toString()
+
+
 def test_stage_and_fresh_paths(spark):
     assert scratch.fresh_path(spark, "x") != scratch.fresh_path(spark, "x")
     staged = scratch.stage(spark.range(10), "numbers")
