@@ -42,20 +42,21 @@ def sites_about(site: Column) -> Column:
 def boilerplate(lines: DataFrame, sites: int = SITES) -> DataFrame:
     """``line`` and ``check`` of the lines on at least ``sites`` sites.
 
-    The sketch is fed with every row of a line that occurs at least ``sites`` times; rarer
-    lines cannot be on so many sites. A line on a third of all pages reaches the merge as
-    one sketch per task. Only lines whose estimate is near ``sites`` have their sites
-    counted, again merged within each task first.
+    Every row of a line feeds its sketch, in the task that reads it, so a line on a third
+    of all pages reaches the merge as one sketch per task. Lines that occur fewer times
+    than ``sites`` cannot be on so many. Only lines whose estimate is near ``sites`` have
+    their sites counted, of rows merged to one per line and site first.
     """
     key = ["line", "check"]
-    often = lines.groupBy(*key).agg(F.count("*").alias("_rows")).where(F.col("_rows") >= sites).drop("_rows")
-    named = F.coalesce(F.concat(F.lit("s"), "site"), F.lit("-"))
-    shared = stage(lines.join(often, key, "left_semi").select(*key, named.alias("site")), "shared")
-    sketched = stage(shared.groupBy(*key).agg(sites_about(F.col("site")).alias("_about")), "sketched")
+    named = F.coalesce(F.concat(F.lit("s"), "site"), F.lit("-")).alias("site")
+    named_lines = lines.select(*key, named)
+    sketched = named_lines.groupBy(*key).agg(sites_about(F.col("site")).alias("_about"), F.count("*").alias("_rows"))
     low, high = sites * (1 - MARGIN), sites * (1 + MARGIN)
+    sketched = stage(sketched.where((F.col("_rows") >= sites) & (F.col("_about") >= low)).drop("_rows"), "sketched")
     sure = sketched.where(F.col("_about") > high).select(*key)
-    near = sketched.where(F.col("_about").between(low, high)).select(*key)
-    exact = shared.join(near, key, "left_semi").groupBy(*key).agg(F.countDistinct("site").alias("_sites"))
+    near = sketched.where(F.col("_about") <= high).select(*key)
+    on_site = named_lines.groupBy(*key, "site").agg(F.count("*").alias("_n"))
+    exact = on_site.join(near, key, "left_semi").groupBy(*key).agg(F.count("*").alias("_sites"))
     return sure.unionAll(exact.where(F.col("_sites") >= sites).select(*key))
 
 
