@@ -2,8 +2,8 @@
 
 Texts are split into words by the tokenizer's pattern in blocks of documents; a block names
 each different word once. A fold over a word's bytes merges the adjacent pair of the
-smallest rank until no pair has one; ranks come from one literal, an array of small maps
-that a hash of the piece picks from. The documents of a block then take their words' ids.
+smallest rank until no pair has one; ranks come from one literal, a map in two arrays
+without collisions. The documents of a block then take their words' ids.
 Nothing is shuffled, and a lost executor costs the blocks it was working on.
 """
 
@@ -31,10 +31,14 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 BLOCK_CHARS = 16_000_000
 # Bytes of a word from which on a heap merges it: a fold moves the whole word at each merge.
 FOLD_BYTES = 512
-# Maps of the rank literal: about one piece in each.
-RANK_MAPS = 65_537
-# The key of two pieces is left * WIDEST + right; ids lie below it.
-WIDEST = 1_000_003
+# Bits of an id. A piece of a word is one number: the rank of it and the next, its place, its id.
+ID_BITS, PLACE_BITS = 17, 20
+# No rank, and the id of the marks around a word; ids and ranks lie below it.
+NONE = (1 << ID_BITS) - 1
+RANK_AT = ID_BITS + PLACE_BITS
+# Shifts and slots of the rank literal: two primes whose product exceeds every key of a pair,
+# so that pairs that share a shift never share a slot.
+SHIFTS, SLOTS = 65_537, 262_147
 # More pieces than a word has: the rest of it.
 REST = 1 << 30
 
@@ -48,33 +52,44 @@ def read_ranks(path: str = RANKS_PATH) -> dict[bytes, int]:
 
 
 @lru_cache(maxsize=2)
-def pair_ranks(path: str = RANKS_PATH) -> tuple[str, np.ndarray]:
-    """Rank of every two tokens that stand for a token together.
+def byte_ranks(path: str = RANKS_PATH) -> np.ndarray:
+    """Rank of every two bytes, ``NONE`` where they are no token."""
+    table = np.full((256, 256), NONE, np.int64)
+    for token, rank in read_ranks(path).items():
+        if len(token) == 2:
+            table[token[0], token[1]] = rank
+    return table
+
+
+@lru_cache(maxsize=2)
+def rank_map(path: str = RANKS_PATH) -> tuple[str, str]:
+    """Rank of every two tokens that stand for a token together, as text of two arrays.
 
-    First as text for the rank literal: ``RANK_MAPS`` maps, of which the remainder of a pair's
-    key names one, so a look-up reads a small map and not the vocabulary.
-    Then as a table over pairs of bytes.
+    A pair's key is its left id, then its right id. The first array holds shifts, picked by
+    the key's remainder; the key and its shift name a slot of the second array, which holds
+    the key and the rank. Shifts are chosen so that no two pairs share a slot, the fullest
+    first: a look-up reads one shift and one slot.
     """
     ranks = read_ranks(path)
-    maps: list[dict[int, int]] = [{} for _ in range(RANK_MAPS)]
-    of_bytes = np.full((256, 256), -1, np.int32)
+    if max(ranks.values()) >= NONE:
+        raise ValueError(f"ids of {path} exceed {NONE - 1}")
+    sharing: dict[int, dict[int, int]] = {}
     for token, rank in ranks.items():
         for cut in range(1, len(token)):
             left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
             if left is not None and right is not None:
-                key = left * WIDEST + right
-                maps[key % RANK_MAPS][key] = rank
-        if len(token) == 2:
-            of_bytes[token[0], token[1]] = rank
-    text = json.dumps([{"k": list(m), "v": list(m.values())} for m in maps], separators=(",", ":"))
-    return text, of_bytes
-
-
-def with_ranks(path: str, use) -> Column:
-    """``use(maps)`` with the ranks of pairs as an array of maps, made from one literal once
-    a row: a row is a block of documents."""
-    buckets = F.from_json(F.lit(pair_ranks(path)[0]), "array<struct<k: array<bigint>, v: array<int>>>")
-    return _let(F.transform(buckets, lambda b: F.map_from_arrays(b["k"], b["v"])), use)
+                key = left << ID_BITS | right
+                sharing.setdefault(key % SHIFTS, {})[key] = rank
+    shifts, slots = [0] * SHIFTS, [-1] * SLOTS
+    for which in sorted(sharing, key=lambda i: (-len(sharing[i]), i)):
+        keys = sharing[which]
+        # shifts to try, spread over the slots
+        tried = (which * 31 + 7919 * t for t in range(SLOTS))
+        shift = next(d % SLOTS for d in tried if all(slots[(key + d) % SLOTS] < 0 for key in keys))
+        shifts[which] = shift
+        for key, rank in keys.items():
+            slots[(key + shift) % SLOTS] = key << ID_BITS | rank
+    return json.dumps(shifts, separators=(",", ":")), json.dumps(slots, separators=(",", ":"))
 
 
 def _let(value: Column, use) -> Column:
@@ -82,41 +97,51 @@ def _let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), 0)
 
 
-def _key(left: Column, right: Column) -> Column:
-    return left.cast("bigint") * WIDEST + right
-
-
-def folded(word: Column, maps: Column) -> Column:
+def folded(word: Column, path: str = RANKS_PATH) -> Column:
     """Ids of a word: the fold of ranked merges over its pieces.
 
-    A word is the ids ``p`` of its bytes after a mark for its beginning, and the ranks ``r``
-    of their adjacent pairs, null where a pair has none. A step merges the first pair of
-    the smallest rank, whose rank is the new piece's id, and looks up the two pairs that
-    this changes.
+    A word is an array of its pieces between two marks, as ``_started`` makes it. A piece
+    holds the rank of it and the next piece above its place, so that the smallest number is
+    the first pair of the smallest rank and says where it stands. A step merges that pair,
+    whose rank is the new piece's id, looks up the two pairs that this changes, and counts
+    the later pieces down by one place.
     """
+    shifts = F.from_json(F.lit(rank_map(path)[0]), "array<int>")
+    slots = F.from_json(F.lit(rank_map(path)[1]), "array<bigint>")
 
-    def rank(key):
-        return F.try_element_at(F.get(maps, (key % RANK_MAPS).cast("int")), key)
+    def piece(e):
+        return e.bitwiseAND(NONE)
 
-    def step(state, _):
-        p, r = state["p"], state["r"]
+    def rank(left, right):
+        def found(key):
+            slot = F.get(slots, ((key + F.get(shifts, (key % SHIFTS).cast("int"))) % SLOTS).cast("int"))
+            return _let(slot, lambda x: F.when(F.shiftright(x, ID_BITS) == key, piece(x)).otherwise(F.lit(NONE).cast("bigint")))
 
-        def at(k, least):
-            changed = F.array(_key(F.get(p, k - 2), least), _key(least, F.get(p, k + 1)))
-            return F.struct(
-                F.concat(F.slice(p, 1, k - 1), F.array(least), F.slice(p, k + 2, REST)).alias("p"),
-                F.concat(F.slice(r, 1, k - 2), F.transform(changed, rank), F.slice(r, k + 2, REST)).alias("r"),
-            )
+        return F.shiftleft(_let(F.shiftleft(left, ID_BITS).bitwiseOR(right), found), RANK_AT)
+
+    def step(s, _):
+        def at(least, k, new):
+            left = F.get(s, k - 2)
+            before = rank(piece(left), new).bitwiseOR(left.bitwiseAND((1 << RANK_AT) - 1))
+            place = F.shiftleft(k.cast("bigint"), ID_BITS)
+            merged = rank(new, piece(F.get(s, k + 1))).bitwiseOR(place).bitwiseOR(new)
+            later = F.transform(F.slice(s, k + 2, REST), lambda e: e - (1 << ID_BITS))
+            return F.concat(F.slice(s, 1, k - 2), F.array(before, merged), later)
 
         def merge(least):
-            place = F.array_position(r, least).cast("int")
-            return F.when(least.isNull(), state).otherwise(_let(place, lambda k: at(k, least)))
+            place = F.shiftright(least, ID_BITS).bitwiseAND((1 << PLACE_BITS) - 1).cast("int")
+            made = _let(place, lambda k: _let(F.shiftright(least, RANK_AT), lambda new: at(least, k, new)))
+            return F.when(least >= F.lit(NONE << RANK_AT), s).otherwise(made)
 
-        return _let(F.array_min(r), merge)
+        return _let(F.array_min(s), merge)
 
     # a word of n bytes has n - 1 merges at most
-    steps = F.sequence(F.lit(3), F.greatest(F.size(word["p"]), F.lit(3)))
-    return F.aggregate(steps, word, step, lambda state: F.slice(state["p"], 2, REST))
+    return F.aggregate(
+        F.slice(word, 4, REST),
+        word,
+        step,
+        lambda s: F.transform(F.slice(s, 2, F.size(s) - 2), lambda e: piece(e).cast("int")),
+    )
 
 
 def merged_by_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -166,8 +191,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], chars: int) -> Iterator[tuple[lis
         yield keys, texts
 
 
-WORD = "struct<p: array<int>, r: array<int>>"
-BLOCK = f"doc_ids array<bigint>, sizes array<int>, places array<int>, words array<{WORD}>, done array<array<int>>"
+BLOCK = "doc_ids array<bigint>, sizes array<int>, places array<int>, words array<array<bigint>>, done array<array<int>>"
 
 
 class Splitter:
@@ -204,23 +228,20 @@ class Splitter:
         return self.cut.findall(text)
 
 
-MARK = -1
-
-
-def _started(words: list[bytes], byte_ids: np.ndarray, of_bytes: np.ndarray) -> pa.StructArray:
-    """Words as the fold starts with them: a mark and the ids of their bytes, and the rank
-    of every piece and the next."""
-    flat = np.frombuffer(b"".join(b"\0" + w for w in words), np.uint8)
-    ends = np.cumsum([len(w) + 1 for w in words])
-    marks = np.concatenate([[0], ends[:-1]])
-    pieces = byte_ids[flat]
-    pieces[marks] = MARK
-    rank = np.concatenate([of_bytes[flat[:-1], flat[1:]], [-1]])
-    # no pair with the mark, nor of a word's last byte with the next word
-    rank[marks], rank[ends - 1] = -1, -1
-    offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
-    lists = [pa.array(pieces, pa.int32()), pa.array(rank.astype(np.int32), mask=rank < 0)]
-    return pa.StructArray.from_arrays([pa.ListArray.from_arrays(offsets, v) for v in lists], ["p", "r"])
+def _started(words: list[bytes], byte_ids: np.ndarray, of_bytes: np.ndarray) -> pa.ListArray:
+    """Words as the fold starts with them: a mark, their bytes, a mark."""
+    flat = np.frombuffer(b"".join(b"\0" + w + b"\0" for w in words), np.uint8)
+    sizes = np.array([len(w) + 2 for w in words], np.int64)
+    ends = np.cumsum(sizes)
+    begins = ends - sizes
+    pieces = byte_ids[flat].astype(np.int64)
+    pieces[begins], pieces[ends - 1] = NONE, NONE
+    rank = np.append(of_bytes[flat[:-1], flat[1:]], NONE)
+    # no pair with a mark, nor of two words' marks
+    rank[begins], rank[ends - 1], rank[ends - 2] = NONE, NONE, NONE
+    places = 1 + np.arange(len(flat)) - np.repeat(begins, sizes)
+    numbers = rank << RANK_AT | places << ID_BITS | pieces
+    return pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(numbers))
 
 
 def _split(docs: DataFrame, path: str, chars: int, fold_bytes: int) -> DataFrame:
@@ -230,7 +251,7 @@ def _split(docs: DataFrame, path: str, chars: int, fold_bytes: int) -> DataFrame
     read_ranks(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter, ranks, of_bytes = Splitter(), read_ranks(path), pair_ranks(path)[1]
+        splitter, ranks, of_bytes = Splitter(), read_ranks(path), byte_ranks(path)
         byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         for keys, texts in _blocks(batches, chars):
             names: dict[str, int] = {}
@@ -250,7 +271,7 @@ def _split(docs: DataFrame, path: str, chars: int, fold_bytes: int) -> DataFrame
             if raw:
                 words = _started([b"" if i else w for w, i in zip(raw, done)], byte_ids, of_bytes)
             else:
-                words = pa.array([], pa.struct({"p": pa.list_(pa.int32()), "r": pa.list_(pa.int32())}))
+                words = pa.array([], pa.list_(pa.int64()))
             places = np.concatenate(parts)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -290,10 +311,8 @@ def encode(
     """
     blocks = _split(docs, path, block_chars, fold_bytes)
 
-    def word_ids(maps):
-        return F.zip_with("words", "done", lambda w, i: F.when(i.isNotNull(), i).otherwise(folded(w, maps)))
-
-    named = blocks.select("doc_ids", "sizes", "places", with_ranks(path, word_ids).alias("word_ids"))
+    word_ids = F.zip_with("words", "done", lambda w, i: F.when(i.isNotNull(), i).otherwise(folded(w, path)))
+    named = blocks.select("doc_ids", "sizes", "places", word_ids.alias("word_ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
