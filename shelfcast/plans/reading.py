@@ -122,7 +122,8 @@ def _wide_csv(spark, sf_dir) -> str:
     keys = ["item_id", "store_id", "dept_id"]
     vectors = forecast.day_vectors(known_rows(spark, sf_dir), keys, "dn", "sales")
     path = fresh_path(spark, "wide-csv")
-    sinks.write_csv(forecast.wide_days(vectors, FIRST_DAY, LAST_DAY), path)
+    names, lines = forecast.wide_lines(vectors, FIRST_DAY, LAST_DAY)
+    sinks.write_csv_lines(lines, names, path)
     return path
 
 
@@ -150,16 +151,18 @@ def wide_day_totals(spark, sf_dir):
     """Every day column of the wide file, read back and added up."""
     wide = scans.read_csv_strings(spark, _wide_csv(spark, sf_dir))
     days = F.array(*numbered_names("d_", FIRST_DAY, LAST_DAY))
-    numbers = wide.select("item_id", "store_id", F.transform(days, lambda v: v.cast("double")).alias("days"))
-    sold = F.transform("days", lambda v, i: F.when(v.isNotNull(), i + FIRST_DAY))
+    sold = F.transform(
+        days, lambda v, i: F.when(v.isNotNull(), F.struct((i + FIRST_DAY).alias("day"), v.cast("double").alias("units")))
+    )
+    numbers = wide.select("item_id", "store_id", F.size(days).alias("n_columns"), F.array_compact(sold).alias("sold"))
     return numbers.select(
         "item_id",
         "store_id",
-        F.aggregate("days", F.lit(0.0), lambda a, v: a + F.coalesce(v, F.lit(0.0))).alias("units"),
-        F.size(F.array_compact("days")).alias("n_days"),
-        F.array_min(sold).alias("first_day"),
-        F.array_max(sold).alias("last_day"),
-        F.size("days").alias("n_columns"),
+        F.aggregate("sold", F.lit(0.0), lambda a, e: a + e["units"]).alias("units"),
+        F.size("sold").alias("n_days"),
+        F.array_min(F.col("sold")["day"]).alias("first_day"),
+        F.array_max(F.col("sold")["day"]).alias("last_day"),
+        "n_columns",
     )
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfcast import scratch
+from shelfcast.operators import forecast
 from shelfcast.operators.skew import measured_join
 from shelfcast.plans.shared import data_tag
 from shelfcast.sources import scans, sinks
@@ -182,3 +183,29 @@ def test_day_range_equals_filter(spark, sf_dir):
 
 def test_even_numbers(spark):
     assert [r["n"] for r in scans.even_numbers(spark, 0, 20).collect()] == list(range(0, 20, 2))
+
+
+def test_csv_lines_read_like_the_wide_table(spark, tmp_path):
+    rows = [('a,"b', 1, 2.0), ('a,"b', 4, 0.5), ("c", 5, 3.0), ("d", 3, None), ("", 2, 7.0), (None, 5, 1.0)]
+    df = spark.createDataFrame(rows, "k string, day int, v double")
+    vectors = forecast.day_vectors(df, ["k"], "day", "v").repartition(3, "k")
+    names, lines = forecast.wide_lines(vectors, 1, 5)
+    cells, text = str(tmp_path / "cells"), str(tmp_path / "lines")
+    sinks.write_csv(forecast.wide_days(vectors, 1, 5), cells)
+    sinks.write_csv_lines(lines, names, text)
+    read = [scans.read_csv_strings(spark, path) for path in (cells, text)]
+    assert read[0].columns == read[1].columns == names
+    assert sorted(map(str, read[0].collect())) == sorted(map(str, read[1].collect()))
+    with pytest.raises(Exception, match="outside 1..4"):
+        sinks.write_csv_lines(forecast.wide_lines(vectors, 1, 4)[1], names, text)
+
+
+def test_the_wide_file_does_not_grow_with_its_empty_columns(spark, tmp_path):
+    vectors = forecast.day_vectors(spark.range(2000).selectExpr("id k", "1 day", "1.0D v"), ["k"], "day", "v")
+
+    def size(last):
+        path = tmp_path / str(last)
+        sinks.write_csv_lines(forecast.wide_lines(vectors, 1, last)[1], ["k"], str(path))
+        return sum(f.stat().st_size for f in path.iterdir())
+
+    assert size(2443) < 5 * size(10)
