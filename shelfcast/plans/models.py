@@ -349,10 +349,11 @@ score AS (
 
 def _flag_scores(spark, sf_dir, candidates, searched=False):
     known = clean.known(stored_panel(spark, sf_dir)).select(*PANEL_KEY, "snap", "label")
-    flagged = VectorAssembler(inputCols=["snap"], outputCol="features").transform(known)
+    parted = training.with_search_part(with_part(known, PANEL_KEY), PANEL_KEY)
+    sides = stage(training.condensed(parted, ["snap", "part", "search_part"]), "condensed")
+    flagged = VectorAssembler(inputCols=["snap"], outputCol="features").transform(sides)
     store = ModelStore(spark, fresh_path(spark, "models"))
-    train, test = train_and_test(flagged, PANEL_KEY)
-    train = training.with_search_part(train, PANEL_KEY)
+    train, test = (flagged.where(F.col("part") == part) for part in ("train", "test"))
     results = training.train_all(candidates, train, test, store, searched=searched)
     return training.leaderboard(spark, results).select("model_id", F.round("rmse", 4).alias("rmse"), "state")
 
@@ -387,10 +388,11 @@ def tuned_trees_by_flag(spark, sf_dir):
 )
 def gbt_by_flag(spark, sf_dir):
     known = clean.known(stored_panel(spark, sf_dir)).select("snap", "label")
-    flagged = VectorAssembler(inputCols=["snap"], outputCol="features").transform(known)
-    model = training.fit_persisted(GBTRegressor(maxIter=10, seed=SPLIT_SEED), flagged)
-    return model.transform(flagged).groupBy("snap").agg(
-        F.round(F.avg("prediction"), 4).alias("prediction"), F.count("*").alias("n_train")
+    sides = stage(training.condensed(known, ["snap"]), "condensed")
+    flagged = VectorAssembler(inputCols=["snap"], outputCol="features").transform(sides)
+    model = training.fit_persisted(GBTRegressor(maxIter=10, seed=SPLIT_SEED, weightCol="weight"), flagged)
+    return model.transform(flagged).select(
+        "snap", F.round("prediction", 4).alias("prediction"), F.col("weight").cast("long").alias("n_train")
     )
 
 

@@ -19,6 +19,7 @@ from shelfcast.operators import evaluate, encoding, forest, grouped, training
 from shelfcast.operators.models import fitted_line, linear
 from shelfcast.operators.sampling import with_part
 from shelfcast.operators.store import ModelStore
+from shelfcast.plans import QUERIES
 
 # Seven rows to encode.
 ROWS = [
@@ -381,3 +382,29 @@ def test_predictions_spread_a_frequent_key(spark, panel_rows, monkeypatch):
     monkeypatch.setattr(skew, "PLAIN_LOOKUP_ROWS", 0)
     split = {(r["item_id"], r["i"]): r["prediction"] for r in grouped.predictions_per_key(rows, models, ["item_id"], day, ["i"]).collect()}
     assert plain == split and plain["new", -1] is None and plain["h", -2] is None
+
+
+def test_condensed_rows_give_the_same_models_and_scores(spark):
+    rows = [(float(x), float(z), float((7 * k) % 5 + 2 * x + z)) for k, (x, z) in enumerate(np.ndindex(3, 40)) for z in (z % 2,)]
+    df = spark.createDataFrame(rows, "x double, z double, label double")
+    few = training.condensed(df, ["x", "z"])
+    assert few.count() == 6
+    whole, few = (VectorAssembler(inputCols=["x", "z"], outputCol="features").transform(d) for d in (df, few))
+    for each in training.standard_candidates():
+        a, b = (training.train_one(each, d, d) for d in (whole, few))
+        assert (a.state, b.state) == ("OK", "OK")
+        assert b.rmse == pytest.approx(a.rmse, abs=1e-6)
+
+
+@pytest.mark.parametrize("name", ["leaderboard_by_flag", "tuned_trees_by_flag", "gbt_by_flag"])
+def test_models_of_a_flag_train_on_condensed_rows(spark, sf_dir, monkeypatch, name):
+    sizes = []
+
+    def fit(self, dataset, params=None):
+        sizes.append(dataset.count())
+        return plain(self, dataset, params)
+
+    plain = GBTRegressor.fit
+    monkeypatch.setattr(GBTRegressor, "fit", fit)
+    assert QUERIES[name](spark, sf_dir).count() > 0
+    assert sizes and max(sizes) <= 4
