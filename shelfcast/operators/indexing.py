@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfcast.operators.skew import spread_join
+from shelfcast.operators.skew import measured_join
 from shelfcast.scratch import stage
 
 
@@ -73,18 +73,19 @@ def with_category_numbers(
     categories as metadata.
 
     Numbers come by join, so no list of categories passes through the driver and a
-    frequent category is spread over tasks once the index is too large to broadcast.
+    frequent category is spread over tasks once the index is too large to broadcast: the
+    index says how frequent a category is, and only those are repeated.
     """
     per_column = index.groupBy("column_name").agg(F.count("*").alias("n_values")).collect()
     sizes = {row["column_name"]: row["n_values"] for row in per_column}
     for c in columns:
         known = {"ml_attr": {"type": "nominal", "name": f"i{c}", "num_vals": sizes.get(c, 0)}}
-        numbers = index.where(F.col("column_name") == c).select(
+        own = index.where(F.col("column_name") == c)
+        numbers = own.select(
             F.col("value").alias("_value"),
             F.col("idx").cast("double").alias(f"i{c}", metadata=known if c in sizes else None),
         )
         keyed = df.withColumn("_value", F.col(c).cast("string"))
-        df = spread_join(
-            keyed, numbers, ["_value"], spread_by, lookup_rows=sizes.get(c, 0), how="left"
-        ).drop("_value")
+        counted = own.select(F.col("value").alias("_value"), F.col("n").alias("_n"))
+        df = measured_join(keyed, numbers, ["_value"], spread_by, how="left", counted=counted).drop("_value")
     return df

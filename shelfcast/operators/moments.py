@@ -8,12 +8,13 @@ shuffled: a key with a third of all rows sends one state per batch.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Rows of a key in a batch from which on their state is smaller than they are.
 CONDENSE_FROM = 8
@@ -72,18 +73,26 @@ def merged(table: pa.Table, columns: Sequence[str], size: int) -> pa.Table:
     starts = run_starts(table, columns)
     if len(starts) == table.num_rows:
         return table
-    segment = np.repeat(np.arange(len(starts)), np.diff([*starts, table.num_rows]))
+    sizes = np.diff([*starts, table.num_rows])
+    several = sizes > 1
+    # a state by itself stays as it is: that of a single row has no co-moments to carry
+    alone = table.take(pa.array(starts[~several]))
+    table = table.take(pa.array(np.nonzero(np.repeat(several, sizes))[0]))
+    heads = np.cumsum(sizes[several]) - sizes[several]
+    segment = np.repeat(np.arange(len(heads)), sizes[several])
     n = table["n"].to_numpy()
     means = matrix_of(table["means"], size)
     i, j = pairs(size)
-    total = np.add.reduceat(n, starts)
-    mean = np.add.reduceat(means * n[:, None], starts) / total[:, None]
+    total = np.add.reduceat(n, heads)
+    mean = np.add.reduceat(means * n[:, None], heads) / total[:, None]
     off = means - mean[segment]
     spread = matrix_of(table["comoments"], len(i))
     spread += n[:, None] * off[:, i] * off[:, j]
-    heads = table.take(pa.array(starts))
-    new = {"n": pa.array(total), "means": lists_of(mean), "comoments": lists_of(np.add.reduceat(spread, starts))}
-    return pa.table({c: new.get(c, heads[c]) for c in table.column_names}).cast(table.schema)
+    first = table.take(pa.array(heads))
+    new = {"n": pa.array(total), "means": lists_of(mean), "comoments": lists_of(np.add.reduceat(spread, heads))}
+    made = pa.table({c: new.get(c, first[c]) for c in table.column_names}).cast(table.schema)
+    order = np.argsort(np.concatenate([starts[~several], starts[several]]), kind="stable")
+    return pa.concat_tables([alone, made]).combine_chunks().take(pa.array(order))
 
 
 def run_starts(table: pa.Table, columns: Sequence[str]) -> np.ndarray:
@@ -97,6 +106,11 @@ def run_starts(table: pa.Table, columns: Sequence[str]) -> np.ndarray:
     return np.nonzero(change)[0]
 
 
+def condensed(table: pa.Table, columns: Sequence[str], size: int) -> list[pa.RecordBatch]:
+    """States of ``table`` with those of frequent keys merged."""
+    return [part for batch in table.combine_chunks().to_batches() for part in _condense(columns, size)(iter([batch]))]
+
+
 def _condense(columns: Sequence[str], size: int):
     """Merge the rows of frequent keys within slices of every batch; pass the others on."""
 
@@ -147,10 +161,19 @@ class _Level:
         return merged(table, [*self.keys, "part"], self.size)
 
 
-def merged_states(states: DataFrame, levels: Sequence[Sequence[str]], size: int) -> DataFrame:
+def merged_states(
+    states: DataFrame,
+    levels: Sequence[Sequence[str]],
+    size: int,
+    made: Callable[[int, pa.Table], Iterator[pa.Table]] | None = None,
+    fields: Sequence[T.StructField] = (),
+) -> DataFrame:
     """States per key of every level: ``level``, all key columns, ``part``, ``n``, ``means``,
     ``comoments``.
 
+    With ``made`` the rows of a level are those that it makes of a table of states, which
+    holds whole keys; they may have ``fields`` besides. What a row lacks is null.
+
     ``levels`` run from fine to coarse and each holds the columns of the next, so one
     exchange, on the coarsest key, serves all; key columns that a level lacks are null.
     Rows are condensed before the exchange. After it a task reads its keys in order and
@@ -164,18 +187,19 @@ def merged_states(states: DataFrame, levels: Sequence[Sequence[str]], size: int)
     order = [k for level in reversed(levels) for k in level]
     order = list(dict.fromkeys(order))
     dealt = condensed.repartition(*coarsest).sortWithinPartitions(*order, "part")
-    schema = T.StructType([T.StructField("level", T.IntegerType()), *[states.schema[c] for c in [*finest, *STATE]]])
+    own = [T.StructField(c, states.schema[c].dataType) for c in [*finest, *STATE]]
+    schema = T.StructType([T.StructField("level", T.IntegerType()), *own, *fields])
+    arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain = [_Level(keys, size) for keys in levels]
-        kinds = None
 
         def emit(number: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
-            filled = {"level": pa.array([number] * table.num_rows, pa.int32())}
-            for c in [*finest, *STATE]:
-                filled[c] = table[c] if c in table.column_names else pa.nulls(table.num_rows, kinds[c])
-            fields = [pa.field("level", pa.int32()), *[pa.field(c, kinds[c]) for c in filled if c != "level"]]
-            yield from pa.table(filled).cast(pa.schema(fields)).combine_chunks().to_batches()
+            for rows in made(number, table) if made else [table]:
+                if "level" not in rows.column_names:
+                    rows = rows.append_column("level", pa.array([number] * rows.num_rows, pa.int32()))
+                filled = [rows[f.name] if f.name in rows.column_names else pa.nulls(rows.num_rows, f.type) for f in arrow]
+                yield from pa.table(filled, names=arrow.names).cast(arrow).combine_chunks().to_batches()
 
         def climb(number: int, table: pa.Table | None) -> Iterator[pa.RecordBatch]:
             if table is None or not table.num_rows or number == len(chain):
@@ -186,7 +210,6 @@ def merged_states(states: DataFrame, levels: Sequence[Sequence[str]], size: int)
                 yield from climb(number + 1, done)
 
         for batch in batches:
-            kinds = {f.name: f.type for f in batch.schema}
             for table in _slices(batch):
                 yield from climb(0, table)
         for number, level in enumerate(chain):

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from shelfcast.operators import sampling, skew
 from shelfcast.operators.boxstats import box_statistics, quantiles, value_counts
 from shelfcast.operators.indexing import category_index, with_category_numbers, with_position
-from shelfcast.operators.skew import spread_join
+from shelfcast.operators.skew import measured_join, spread_join
 
 
 @pytest.fixture(scope="module")
@@ -93,6 +93,26 @@ def test_spread_join_equals_join(spark, skewed, how, lookup_rows):
     assert order(spread) == order(plain)
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_measured_join_repeats_hot_keys_only(spark, skewed, how):
+    rows = spark.createDataFrame([*skewed, *[(None, float(v)) for v in range(500)]], "k string, v double")
+    lookup = spark.createDataFrame([("hot", 1), ("k3", 2), ("absent", 3), (None, 4)], "k string, n int")
+    order = lambda df: sorted(map(str, df.select("k", "v", "n").collect()))
+    plain = order(rows.join(lookup, "k", how))
+    for share in (0.5, 0.1):
+        assert order(measured_join(rows, lookup, ["k"], ["v"], hot_share=share, plain_rows=0, how=how)) == plain
+
+
+def test_category_numbers_do_not_repeat_a_large_index(spark, monkeypatch):
+    """Evenly frequent categories: the index is joined as it is, not once a salt."""
+    df = spark.range(6000).select(F.col("id").alias("n"), (F.col("id") % 2000).cast("string").alias("w"))
+    index = category_index(df, ["w"]).cache()
+    monkeypatch.setattr(skew, "PLAIN_LOOKUP_ROWS", 0)
+    numbered = with_category_numbers(df, index, ["w"], ["n"])
+    assert "Generate" not in numbered._jdf.queryExecution().executedPlan().toString()
+    assert numbered.where("iw IS NOT NULL").count() == 6000
+
+
 def test_large_lookups_are_merged_in_parts(spark, skewed, monkeypatch):
     df = spark.createDataFrame(skewed, "k string, v double")
     plain = box_statistics(df, ["k"], "v").orderBy("k").collect()
