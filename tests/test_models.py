@@ -433,3 +433,25 @@ def test_few_inputs_need_no_states_of_rows(spark, panel_rows, monkeypatch):
     monkeypatch.undo()
     monkeypatch.setattr(grouped.moments, "row_states", lambda *a: pytest.fail("rows became states"))
     assert grouped.weights_per_key(rows, ["item_id"], day, "label").count() == len(native) - 1
+
+
+def test_models_are_solved_where_states_merge(spark, panel_rows):
+    """No co-moments are written for a level, and rows reach Python as plain columns."""
+    rows = panel_rows.withColumns({"store_id": F.concat(F.lit("s"), F.col("i") % 3), "dept_id": F.lit("p")})
+    inputs = grouped.panel_inputs()
+    found = grouped.weights_per_key(rows, ["item_id"], inputs, "label")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "max_by" not in plan
+    states = grouped.value_states(rows, ["item_id", "store_id", "dept_id"], inputs, "label")
+    below = grouped.solved_states(states, [["item_id", "store_id", "dept_id"], ["item_id", "dept_id"]], list(inputs), ["dept_id"])
+    table = below.where("comoments IS NOT NULL")
+    assert table.where("level >= 0").count() == 0 and table.where("level = -1").count() > 0
+
+
+def test_models_of_single_rows(spark):
+    """A key of one row is its mean, without inputs."""
+    rows = spark.createDataFrame([("a", "train", 3, 5.0, 2.0), ("b", "test", 4, 1.0, 1.0)], "k string, part string, x int, z double, label double")
+    inputs = {c: F.col(c) for c in ("x", "z")} | {"w": F.lit(1.0)}
+    found = {r["k"]: r for r in grouped.weights_per_key(rows, ["k"], inputs, "label").collect()}
+    assert (found["a"]["weights"], found["a"]["intercept"], found["a"]["rank"]) == ([0.0] * 3, 2.0, 1)
+    assert (found["b"]["weights"], found["b"]["state"]) == (None, "NO_TRAIN_ROWS")
