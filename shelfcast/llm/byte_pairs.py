@@ -48,32 +48,37 @@ def read_ranks(path: str = RANKS_PATH) -> dict[bytes, int]:
 
 
 @lru_cache(maxsize=2)
-def pair_ranks(path: str = RANKS_PATH) -> tuple[str, np.ndarray]:
-    """Rank of every two tokens that stand for a token together.
+def byte_pair_ranks(path: str = RANKS_PATH) -> np.ndarray:
+    """Rank of every two bytes that are a token together, else -1: all a task needs to start."""
+    of_bytes = np.full((256, 256), -1, np.int32)
+    for token, rank in read_ranks(path).items():
+        if len(token) == 2:
+            of_bytes[token[0], token[1]] = rank
+    return of_bytes
 
-    First as text for the rank literal: ``RANK_MAPS`` maps, of which the remainder of a pair's
-    key names one, so a look-up reads a small map and not the vocabulary.
-    Then as a table over pairs of bytes.
+
+@lru_cache(maxsize=2)
+def pair_ranks(path: str = RANKS_PATH) -> str:
+    """Rank of every two tokens that stand for a token together, as text for the rank literal.
+
+    It holds ``RANK_MAPS`` maps, of which the remainder of a pair's key names one, so a look-up
+    reads a small map and not the vocabulary.
     """
     ranks = read_ranks(path)
     maps: list[dict[int, int]] = [{} for _ in range(RANK_MAPS)]
-    of_bytes = np.full((256, 256), -1, np.int32)
     for token, rank in ranks.items():
         for cut in range(1, len(token)):
             left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
             if left is not None and right is not None:
                 key = left * WIDEST + right
                 maps[key % RANK_MAPS][key] = rank
-        if len(token) == 2:
-            of_bytes[token[0], token[1]] = rank
-    text = json.dumps([{"k": list(m), "v": list(m.values())} for m in maps], separators=(",", ":"))
-    return text, of_bytes
+    return json.dumps([{"k": list(m), "v": list(m.values())} for m in maps], separators=(",", ":"))
 
 
 def with_ranks(path: str, use) -> Column:
     """``use(maps)`` with the ranks of pairs as an array of maps, made from one literal once
     a row: a row is a block of documents."""
-    buckets = F.from_json(F.lit(pair_ranks(path)[0]), "array<struct<k: array<bigint>, v: array<int>>>")
+    buckets = F.from_json(F.lit(pair_ranks(path)), "array<struct<k: array<bigint>, v: array<int>>>")
     return _let(F.transform(buckets, lambda b: F.map_from_arrays(b["k"], b["v"])), use)
 
 
@@ -230,7 +235,7 @@ def _split(docs: DataFrame, path: str, chars: int, fold_bytes: int) -> DataFrame
     read_ranks(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter, ranks, of_bytes = Splitter(), read_ranks(path), pair_ranks(path)[1]
+        splitter, ranks, of_bytes = Splitter(), read_ranks(path), byte_pair_ranks(path)
         byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         for keys, texts in _blocks(batches, chars):
             names: dict[str, int] = {}

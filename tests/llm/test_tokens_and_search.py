@@ -187,3 +187,15 @@ def test_sentence_pieces_hash_every_id(spark, sf_dir, llm_documents):
     hashed = {r[0]: (r[1], r[2]) for r in ids.selectExpr("doc_id", "size(ids)", "xxhash64(ids)").collect()}
     found = entry.queries()["op9_sentencepiece"](spark, sf_dir).collect()
     assert {r["doc_id"]: (r["n_tokens"], r["ids_hash"]) for r in found} == hashed
+
+
+def test_byte_pair_tasks_build_no_rank_maps():
+    """A task starts from the ranks of pairs of bytes; the rank literal is the driver's."""
+    from shelfcast.llm import byte_pairs
+
+    byte_pairs.pair_ranks.cache_clear()
+    table = byte_pairs.byte_pair_ranks()
+    ranks = byte_pairs.read_ranks()
+    pairs = {t: r for t, r in ranks.items() if len(t) == 2}
+    assert (table >= 0).sum() == len(pairs) and all(table[t[0], t[1]] == r for t, r in pairs.items())
+    assert byte_pairs.pair_ranks.cache_info().currsize == 0
