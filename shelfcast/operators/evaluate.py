@@ -17,12 +17,17 @@ def accuracy_of(predicted: str = "prediction", actual: str = "label") -> Column:
     return F.avg((F.col(predicted) == F.col(actual)).cast("double"))
 
 
+def condensed_rmse() -> Column:
+    """``rmse_of`` over condensed rows (see ``training.condensed``), which stand for ``weight``
+    rows each, about whose mean label these have the squares ``spread``."""
+    squares = F.col("weight") * squared_error("prediction", "label") + F.col("spread")
+    return F.sqrt(F.sum(squares) / F.sum("weight"))
+
+
 def rmse(predictions: DataFrame) -> float | None:
-    """The error over rows, or over condensed rows (see ``training.condensed``), which stand
-    for ``weight`` rows each, about whose mean label these have the squares ``spread``."""
+    """The error over rows, or over condensed rows."""
     if "weight" in predictions.columns:
-        squares = F.col("weight") * squared_error("prediction", "label") + F.col("spread")
-        return predictions.agg(F.sqrt(F.sum(squares) / F.sum("weight"))).first()[0]
+        return predictions.agg(condensed_rmse()).first()[0]
     return predictions.agg(rmse_of()).first()[0]
 
 
