@@ -199,3 +199,25 @@ def test_byte_pair_tasks_build_no_rank_maps():
     pairs = {t: r for t, r in ranks.items() if len(t) == 2}
     assert (table >= 0).sum() == len(pairs) and all(table[t[0], t[1]] == r for t, r in pairs.items())
     assert byte_pairs.pair_ranks.cache_info().currsize == 0
+
+
+def test_words_of_many_blocks_are_folded_once(make_docs):
+    """Each word that is no token is folded once in the whole table, and blocks stay where they are."""
+    texts = [f"qzxvword{i % 7} qzxvtail{i % 5}" for i in range(60)]
+    docs = make_docs(list(enumerate(texts)))
+    blocks = byte_pairs._bucketed(byte_pairs._split(docs, byte_pairs.RANKS_PATH, 1))
+    assert blocks.count() == len(texts)
+    words = blocks.selectExpr("block", "inline(parts)")
+    folds = byte_pairs._different(words, byte_pairs.RANKS_PATH, byte_pairs.FOLD_BYTES)
+    # pieces of the pattern: a word, a number, a blank and a word, a number
+    assert folds.selectExpr("sum(size(words)) AS n").collect()[0]["n"] == 2
+    assert folds.selectExpr("sum(size(places)) AS n").collect()[0]["n"] == 2 * len(texts)
+    plan = byte_pairs.encode(docs, block_chars=1)._jdf.queryExecution().executedPlan().toString()
+    # the words go out and their ids come back; codes and texts are not moved
+    moved = [line for line in plan.splitlines() if "Exchange" in line]
+    assert len(moved) == 2 and not any("codes" in line for line in moved)
+
+
+def test_numbers_are_packed_and_read_again():
+    for numbers in ([], [0], [1, 255, 256, 70_000, 2**32 - 1]):
+        assert byte_pairs.unpacked(byte_pairs.packed(np.array(numbers, np.int64))).tolist() == numbers
