@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bit_search, line_spread, site_quality, source_mix, toxic_spans
+from shelfcast.llm import bit_search, line_spread, site_quality, source_mix, suffix_dedup, toxic_spans
 
 VECTOR = "vec_id long, embedding array<double>"
 
@@ -138,3 +138,21 @@ def test_site_quality_held_out_table(spark, sf_dir):
     judged = site_quality.judge(docs, labels.where("NOT " + toxic_spans.HELD_OUT)).collect()
     right = [r["kept"] == (held[r["doc_id"]] > 0) for r in judged if held.get(r["doc_id"]) is not None]
     assert len(right) > 10 and np.mean(right) >= 0.9
+
+
+def test_anchors_of_many_copies_reach_several_tasks(spark):
+    every = spark.range(6000).select(
+        F.when(F.col("id") < 3000, -1).otherwise(F.floor(F.col("id") / 2)).alias("lead"), F.col("id").alias("row"), F.lit(0).alias("at")
+    )
+    counted = every.groupBy("lead").agg(F.count("*").alias("_n")).where("_n > 1")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    try:
+        found = suffix_dedup._meeting(every, counted, ["lead"]).withColumn("task", F.spark_partition_id())
+        rows = [r["task"] for r in found.where("lead = -1").select("task").collect()]
+        assert found.count() == 6000
+    finally:
+        spark.conf.set(coalesce, before)
+    # the lead with half of all rows does not sit in one task
+    assert len(rows) == 3000 and max(rows.count(t) for t in set(rows)) < 1000
