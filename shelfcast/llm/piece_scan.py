@@ -27,7 +27,7 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 16_384
 BLANK = "▁"
 WORDS_KEPT = 60_000
-CHARS_AT_ONCE = 500_000
+CHARS_AT_ONCE = 200_000
 DENSE = 255
 
 # A sum is a complex number, which numpy orders by its real part first: the score, and then
