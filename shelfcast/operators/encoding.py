@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
@@ -12,7 +13,8 @@ from pyspark.ml.feature import (
     VectorAssembler,
     VectorSlicer,
 )
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from shelfcast.operators.indexing import category_index, with_category_numbers
 from shelfcast.scratch import stage
@@ -87,10 +89,19 @@ def prepared_panel(panel: DataFrame, **options) -> tuple[PipelineModel, DataFram
 
 def prepared_panel_by_join(panel: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The panel with exact ``features``, numbered by join: same vectors as
-    ``prepared_panel`` without hashed columns, and no labels on the driver."""
-    hot = one_hot_by_join(panel, keys)
-    assembled = VectorAssembler(inputCols=VECTOR_ORDER, outputCol="features").transform(hot)
-    return assembled.select(*panel.columns, "features")
+    ``prepared_panel`` without hashed columns, and no labels on the driver.
+
+    The vectors are made of the numbers at once. An assembler names each slot in the
+    metadata of its column, which for millions of items fills the driver.
+    """
+    numbered = numbered_by_join(panel, keys, CATEGORICALS)
+    return numbered.select(*panel.columns, assembled(numbered, VECTOR_ORDER))
+
+
+def numbered_by_join(df: DataFrame, keys: Sequence[str], categoricals: Sequence[str]) -> DataFrame:
+    """``i<column>``, the category number, for each column, without a limit on categories."""
+    index = stage(category_index(df, categoricals), "category-index")
+    return with_category_numbers(df, index, categoricals, keys)
 
 
 def one_hot_by_join(
@@ -100,14 +111,59 @@ def one_hot_by_join(
 
     The numbered columns carry their sizes as metadata, so fitting reads no rows.
     """
-    index = stage(category_index(df, categoricals), "category-index")
-    numbered = with_category_numbers(df, index, categoricals, keys)
+    numbered = numbered_by_join(df, keys, categoricals)
     blocks = OneHotEncoder(
         inputCols=[f"i{c}" for c in categoricals], outputCols=[f"v{c}" for c in categoricals]
     )
     return blocks.fit(numbered).transform(numbered).drop(*[f"i{c}" for c in categoricals])
 
 
+def assembled(numbered: DataFrame, vector_order: Sequence[str], name: str = "features") -> Column:
+    """The vectors that one-hot blocks (``v<column>``, of the numbers ``i<column>``) and plain
+    numbers make side by side: dense or sparse, whichever is smaller, as the assembler does.
+
+    Null and NaN inputs raise an error. The column's metadata hold its width alone.
+    """
+    entries, cells, inputs, width = [], [], [], 0
+    for c in vector_order:
+        if c in numbered.columns:
+            value = F.col(c).cast("double")
+            inputs.append(F.when(~F.isnan(value), value))
+            entries.append(F.when(value != 0, F.struct(F.lit(width).alias("slot"), value.alias("value"))))
+            cells.append(value)
+            width += 1
+        else:
+            number = F.col(f"i{c[1:]}")
+            known = numbered.schema[f"i{c[1:]}"].metadata.get("ml_attr", {})
+            # the last category is the one without a slot
+            slots = max(0, known.get("num_vals", 0) - 1)
+            inputs.append(number)
+            slot = (F.lit(width) + number).cast("int")
+            entries.append(F.when(number < slots, F.struct(slot.alias("slot"), F.lit(1.0).alias("value"))))
+            if width + slots < 1.5 * len(vector_order) + 2.5:
+                cells += [(number == k).cast("double") for k in range(slots)]
+            width += slots
+    found = F.array_compact(F.array(*entries))
+
+    def raw(kind, size, indices, values):
+        fields = {"type": F.lit(kind).cast("byte"), "size": size, "indices": indices, "values": values}
+        return F.struct(F.struct(*[v.alias(k) for k, v in fields.items()]).alias(name))
+
+    vector = raw(0, F.lit(width), found["slot"], found["value"])
+    # 12 bytes an entry and 20 more, in whole 8 bytes, against 8 bytes a slot and 8 more
+    if width < 1.5 * len(entries) + 2.5:
+        none = F.lit(None)
+        plain = raw(1, none.cast("int"), none.cast("array<int>"), F.array(*cells).cast("array<double>"))
+        vector = F.when(1.5 * F.size(found) + 2.5 <= width, vector).otherwise(plain)
+    # Spark builds a vector of its parts only when it reads one
+    kind = T.StructType([T.StructField(name, VectorUDT())])
+    made = F.from_json(F.to_json(vector), kind)[name]
+    missing = reduce(lambda a, b: a | b, [x.isNull() for x in inputs])
+    error = F.raise_error(F.lit("a null or NaN cannot be part of a vector")).cast("string")
+    vector_or_error = F.when(missing, F.from_json(error, kind)[name]).otherwise(made)
+    return vector_or_error.alias(name, metadata={"ml_attr": {"num_attrs": width}})
+
+
 def active_slots(df: DataFrame, keys: Sequence[str], vector: str = "features") -> DataFrame:
     """Non-zero vector entries as rows ``keys, slot, value``, read from the sparse form."""
     raw = F.unwrap_udt(vector)

@@ -91,6 +91,43 @@ def test_prepared_panel_by_join_equals_the_fitted_chain(spark):
     assert sorted(map(str, joined.collect())) == sorted(map(str, fitted.collect()))
 
 
+@pytest.mark.parametrize("kinds", [(1, 2, 1, 2), (2, 3, 2, 3), (3, 4, 2, 2)])
+def test_prepared_panel_by_join_is_dense_where_the_chain_is(spark, kinds):
+    d, i, s, w = kinds
+    rows = [(f"d{k % d}", f"i{k % i}", f"s{k % s}", k % w, k, k % 2, k % 3, 6, 2000) for k in range(30)]
+    df = spark.createDataFrame(rows, ["dept_id", "item_id", "store_id", "wday", "dn", "flag_ram", "snap", "month", "year"])
+    df = df.withColumn("dept_id", F.when(F.col("dn") != 0, F.col("dept_id")).otherwise("d0"))
+    joined = encoding.prepared_panel_by_join(df, ["dn"])
+    if min(kinds) > 1:
+        fitted = encoding.prepared_panel(df)[1]
+        assert sorted(map(str, joined.collect())) == sorted(map(str, fitted.collect()))
+    assert encoding.vector_width(joined).collect() == [(sum(kinds) - 4 + 5, 30)]
+
+
+def test_prepared_panel_by_join_names_no_slots(spark):
+    """The metadata of the vectors are as small at any number of items."""
+
+    def size(n):
+        df = spark.range(n).selectExpr(
+            "'d' AS dept_id", "CAST(id AS STRING) AS item_id", "'s' AS store_id", "id % 7 AS wday", "id AS dn",
+            "0 AS flag_ram", "1 AS snap", "6 AS month", "2000 AS year",
+        )
+        done = encoding.prepared_panel_by_join(df, ["dn"])
+        assert encoding.vector_width(done).collect() == [(n - 1 + 6 + 5, n)]
+        return len(str(done.schema["features"].metadata))
+
+    assert size(2000) < size(20) + 10
+
+
+def test_prepared_panel_by_join_refuses_nulls(spark):
+    df = spark.createDataFrame(
+        [("d", "i", None, 1, 1, 0, 1, 6, 2000), ("e", "j", "s", 2, 2, 0, 1, 6, 2000)],
+        "dept_id string, item_id string, store_id string, wday int, dn int, flag_ram int, snap int, month int, year int",
+    )
+    with pytest.raises(Exception, match="null"):
+        encoding.prepared_panel_by_join(df, ["dn"]).collect()
+
+
 def test_dummy_columns(spark):
     df = spark.createDataFrame([(1, "b"), (2, None), (3, "a")], "id int, c string")
     rows = encoding.dummy_columns(df, ["c"]).orderBy("id")
