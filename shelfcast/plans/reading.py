@@ -118,9 +118,14 @@ def materialize_once(spark, sf_dir):
 
 
 def _wide_csv(spark, sf_dir) -> str:
-    """One row per item and store, one column per day of the history, as CSV."""
+    """One row per item and store, one column per day of the history, as CSV.
+
+    A line is a hundred times as long as the rows it is made of. By their bytes Spark would
+    put them together into a few partitions, and so into few files that few tasks can read.
+    """
     keys = ["item_id", "store_id", "dept_id"]
-    vectors = forecast.day_vectors(known_rows(spark, sf_dir), keys, "dn", "sales")
+    dealt = known_rows(spark, sf_dir).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys)
+    vectors = forecast.day_vectors(dealt, keys, "dn", "sales")
     path = fresh_path(spark, "wide-csv")
     names, lines = forecast.wide_lines(vectors, FIRST_DAY, LAST_DAY)
     sinks.write_csv_lines(lines, names, path)
@@ -149,12 +154,12 @@ def wide_day_columns(spark, sf_dir):
 )
 def wide_day_totals(spark, sf_dir):
     """Every day column of the wide file, read back and added up."""
-    wide = scans.read_csv_strings(spark, _wide_csv(spark, sf_dir))
-    days = F.array(*numbered_names("d_", FIRST_DAY, LAST_DAY))
+    days = numbered_names("d_", FIRST_DAY, LAST_DAY)
+    wide = scans.read_csv_strings(spark, _wide_csv(spark, sf_dir), packed=days)
     sold = F.transform(
-        days, lambda v, i: F.when(v.isNotNull(), F.struct((i + FIRST_DAY).alias("day"), v.cast("double").alias("units")))
+        "cells", lambda e: F.struct((e["at"] + FIRST_DAY).alias("day"), e["value"].cast("double").alias("units"))
     )
-    numbers = wide.select("item_id", "store_id", F.size(days).alias("n_columns"), F.array_compact(sold).alias("sold"))
+    numbers = wide.select("item_id", "store_id", F.lit(len(days)).alias("n_columns"), sold.alias("sold"))
     return numbers.select(
         "item_id",
         "store_id",

@@ -32,7 +32,7 @@ def write_csv_lines(lines: DataFrame, names: Sequence[str], path: str) -> None:
     is_first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
     header = F.lit(",".join(names) + "\n")
     text = lines.select(F.when(is_first, F.concat(header, "line")).otherwise(F.col("line")).alias("value"))
-    text.write.mode("overwrite").option("compression", "gzip").text(path)
+    text.write.mode("overwrite").option("compression", "lz4").text(path)
 
 
 def _filesystem(spark: SparkSession, path: str):

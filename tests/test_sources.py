@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfcast import scratch
 from shelfcast.operators import forecast
 from shelfcast.operators.skew import measured_join
+from shelfcast.plans import QUERIES, reading
 from shelfcast.plans.shared import data_tag
 from shelfcast.sources import scans, sinks
 from shelfcast.sources.panel import HISTORY_END, sales_panel
@@ -209,3 +210,36 @@ def test_the_wide_file_does_not_grow_with_its_empty_columns(spark, tmp_path):
         return sum(f.stat().st_size for f in path.iterdir())
 
     assert size(2443) < 5 * size(10)
+
+
+def test_packed_cells_are_those_of_the_columns(spark, tmp_path, monkeypatch):
+    names = numbered_names("d_", 1, 9)
+    rows = ["x,a,1.0,,,,,,,,2.5", '"y, z",,,,,3,,,,,', '"q\\"r","",,,,,,,,,', "full,b,1,2,3,4,5,6,7,8,9", ",c,,2,,,,,,,", "é,a,,,,,,,-1E3,,"]
+    path = write_text(tmp_path, ",".join(["k", "s", *names]), *rows)
+    plain = scans.read_csv_strings(spark, path).collect()
+    wanted = [(r["k"], r["s"], [(i, r[n]) for i, n in enumerate(names) if r[n] is not None]) for r in plain]
+    for few in (64, 0):
+        monkeypatch.setattr(scans, "FEW_CELLS", few)
+        packed = scans.read_csv_strings(spark, path, packed=names)
+        assert packed.columns == ["k", "s", "cells"]
+        assert [(r["k"], r["s"], [tuple(c) for c in r["cells"]]) for r in packed.collect()] == wanted
+    assert len(wanted) == 6 and wanted[1][2] == [(3, "3")]
+
+
+def test_packed_columns_are_the_last_and_hold_no_quotes(spark, tmp_path):
+    path = write_text(tmp_path, "k,d_1,d_2", 'x,"1",')
+    with pytest.raises(ValueError, match="last ones"):
+        scans.read_csv_strings(spark, path, packed=["d_1"])
+    with pytest.raises(Exception, match="quoted"):
+        scans.read_csv_strings(spark, path, packed=["d_1", "d_2"]).collect()
+
+
+def test_totals_of_the_wide_table_parse_no_column_per_day(spark, sf_dir):
+    found = QUERIES["wide_day_totals"](spark, sf_dir)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "d_2000#" not in plan and "item_id" in plan
+
+
+def test_the_wide_table_is_written_by_as_many_tasks_as_asked_for(spark, sf_dir):
+    files = scans.read_csv_strings(spark, reading._wide_csv(spark, sf_dir)).inputFiles()
+    assert len(files) == int(spark.conf.get("spark.sql.shuffle.partitions"))
